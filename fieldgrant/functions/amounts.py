@@ -1,8 +1,8 @@
 """Parsing and summing money.
 
 Amount text is parsed with ``try_cast``: text that is no number becomes NULL instead of
-failing the job under ANSI mode. Sums are taken in whole cents (BIGINT), so a result does not
-depend on the order in which tasks finish or on a retried task.
+failing the job under ANSI mode. Sums are taken in whole cents, so a result does not depend on
+the order in which tasks finish or on a retried task.
 """
 
 from __future__ import annotations
@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 from .names import quoted
 
-# Largest magnitude whose cents are exact integers in a double (2**53 / 100, rounded down).
-_CENT_EXACT_LIMIT = 9.0e13
-
-
 def _column(c: Column | str) -> Column:
     return F.col(quoted(c)) if isinstance(c, str) else c
 
@@ -40,26 +36,23 @@ def parse_failed(raw: Column | str, parsed: Column) -> Column:
     return text.isNotNull() & (F.trim(text) != "") & parsed.isNull()
 
 
-def cents(c: Column) -> tuple[Column, Column]:
-    """Split a double into (whole cents as BIGINT, remainder as double).
+def cents(c: Column) -> Column:
+    """A double amount in cents, snapped to the whole cent it stands for.
 
     A value within a millionth of a cent (or a few rounding errors) of a whole cent *is* that
-    cent and has remainder 0. Sub-cent values, huge values, NaN and infinities go to the remainder untouched, so the two
-    sums together always equal the plain sum.
+    cent; sub-cent values, NaN and infinities stay as they are.
     """
     scaled = c * F.lit(100.0)
     whole = F.rint(scaled)
     tolerance = F.lit(1e-6) + F.abs(scaled) * F.lit(1e-15)
-    is_cents = (F.abs(c) < F.lit(_CENT_EXACT_LIMIT)) & (F.abs(scaled - whole) < tolerance)
-    return (
-        F.when(is_cents, whole.cast("bigint")).when(c.isNotNull(), F.lit(0).cast("bigint")),
-        F.when(is_cents, F.lit(0.0)).otherwise(c),
-    )
+    return F.when(F.abs(scaled - whole) < tolerance, whole).otherwise(scaled)
 
 
 def exact_sum(c: Column | str, where: Column | None = None) -> Column:
-    """Order-independent sum of a double column (NULL when there is nothing to add)."""
-    whole, rest = cents(_column(c))
-    if where is not None:
-        whole, rest = F.when(where, whole), F.when(where, rest)
-    return F.sum(whole).cast("double") / F.lit(100.0) + F.sum(rest)
+    """Sum of a double column (NULL when there is nothing to add).
+
+    Whole cents add up without rounding in a double, in any order, up to 2**53 cents (90 trillion
+    units). Beyond that, or with sub-cent values, this is an ordinary double sum.
+    """
+    amount = cents(_column(c))
+    return F.sum(amount if where is None else F.when(where, amount)) / F.lit(100.0)

@@ -59,7 +59,7 @@ def absolute_url(base: Column, href: Column) -> Column:
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href == "", no_fragment)
+        .when(href == "", base)
         .when(href.startswith("#"), F.concat(no_fragment, href))
         .when(href.startswith("?"), F.concat(no_query, href))
         .otherwise(F.concat(origin, _without_dot_segments(rooted), tail))

@@ -7,7 +7,6 @@ the rows reaches its reducer as one partial row per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ REPRESENTATIVES = ("country", "year", "municipality")
 EAGF, EAFRD, COFUNDING = AMOUNT_COLUMNS
 EU_PAYOUT = "grand_total_eu_payout"
 PUBLIC_PAYOUT = "grand_total_public_payout"
+MACRO_COLUMNS = (EAGF, EAFRD, PUBLIC_PAYOUT)
 SLUG = "scheme_token"
 
 
@@ -54,16 +54,12 @@ def merge_payments_salted(
     partial rows that one reducer is slow on them.
     """
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("salt")
-    parts = [cents(F.col(c)) for c in amounts]
-    phase_one = df.groupBy(salt, *keys).agg(
-        *[F.sum(whole).alias(f"{c}_cents") for c, (whole, _) in zip(amounts, parts)],
-        *[F.sum(rest).alias(f"{c}_rest") for c, (_, rest) in zip(amounts, parts)],
-        *[F.min(c).alias(c) for c in representatives],
+    subtotals = df.groupBy(salt, *keys).agg(
+        *[F.sum(cents(F.col(c))).alias(c) for c in amounts], *[F.min(c).alias(c) for c in representatives]
+    )
+    return subtotals.groupBy(*keys).agg(
+        *[(F.sum(c) / F.lit(100.0)).alias(c) for c in amounts], *[F.min(c).alias(c) for c in representatives]
     )
-    totals = [
-        (F.sum(f"{c}_cents").cast("double") / F.lit(100.0) + F.sum(f"{c}_rest")).alias(c) for c in amounts
-    ]
-    return phase_one.groupBy(*keys).agg(*totals, *[F.min(c).alias(c) for c in representatives])
 
 
 def payout_totals(df: DataFrame) -> DataFrame:
@@ -109,7 +105,7 @@ def classify_schemes(
 
 def macro_totals(df: DataFrame) -> DataFrame:
     """Per beneficiary: both funds and the public payout."""
-    return df.groupBy("beneficiary").agg(*_sums((EAGF, EAFRD, PUBLIC_PAYOUT)))
+    return df.groupBy("beneficiary").agg(*_sums(MACRO_COLUMNS))
 
 
 def scheme_pivot(df: DataFrame, schemes: Sequence[Scheme] = SCHEMES) -> DataFrame:
@@ -130,17 +126,18 @@ def beneficiary_master_join(df: DataFrame, schemes: Sequence[Scheme] = SCHEMES)
 def beneficiary_master(df: DataFrame, schemes: Sequence[Scheme] = SCHEMES) -> DataFrame:
     """The wide master table of a classified frame: macro totals and one column per slug.
 
-    All columns come from a single aggregation per beneficiary, hence a single shuffle. The slug
-    columns of a partial row are mostly NULL, which costs next to nothing once compressed.
+    All columns come from a single aggregation per beneficiary, hence a single shuffle. Amounts
+    are put into cents once per row, ahead of the 38 sums. The slug columns of a partial row are
+    mostly NULL, which costs next to nothing once compressed.
     """
-    columns = slugs(schemes)
-    per_slug = [
-        F.coalesce(exact_sum(PUBLIC_PAYOUT, where=F.col(SLUG) == s), F.lit(0.0)).alias(s) for s in columns
-    ]
-    return (
-        df.filter(F.col("beneficiary").isNotNull())
-        .groupBy("beneficiary")
-        .agg(*_sums((EAGF, EAFRD, PUBLIC_PAYOUT)), *per_slug)
+    in_cents = df.filter(F.col("beneficiary").isNotNull()).select(
+        "beneficiary", SLUG, *[cents(F.col(c)).alias(c) for c in MACRO_COLUMNS]
+    )
+    payout = F.col(PUBLIC_PAYOUT)
+    macros = {c: F.sum(c) for c in MACRO_COLUMNS}
+    per_slug = {s: F.coalesce(F.sum(F.when(F.col(SLUG) == s, payout)), F.lit(0.0)) for s in slugs(schemes)}
+    return in_cents.groupBy("beneficiary").agg(
+        *[(total / F.lit(100.0)).alias(name) for name, total in (macros | per_slug).items()]
     )
 
 

@@ -121,6 +121,6 @@ def guard(
     """
     holds = F.lit(True)
     for rule, column, broken in reversed(_rules(df, required, amounts, trim)):
-        failure = F.raise_error(F.lit(f"{GUARD_MARK}{rule} {column}")).cast("boolean")
+        failure = F.raise_error(F.lit(f"{GUARD_MARK}{rule} {column};")).cast("boolean")
         holds = F.when(broken, failure).otherwise(holds)
     return df.filter(holds)

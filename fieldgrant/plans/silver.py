@@ -76,7 +76,7 @@ def run_silver(
         write_silver(guard(enforce_schema(silver)), silver_path)
         metrics = intake.get
     except Exception as e:
-        broken = re.search(re.escape(GUARD_MARK) + r"([\w ]+)", str(e))
+        broken = re.search(re.escape(GUARD_MARK) + "[^;]+", str(e))
         reason = broken.group(0) if broken else str(e)
         kind = QualityViolation.__name__ if broken else type(e).__name__
         ledger.mark_failed(STAGE, country, year, reason, fingerprint, {"error_type": kind})
