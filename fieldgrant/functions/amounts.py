@@ -27,7 +27,10 @@ def comma_amount(c: Column | str, thousands_sep: str | None = None) -> Column:
     By default only the comma is replaced, so ``1.234,56`` is no number and yields NULL.
     ``thousands_sep="."`` removes that separator first and yields 1234.56.
     """
-    return F.translate(_column(c), "," + (thousands_sep or ""), ".").try_cast("double")
+    text = _column(c)
+    if thousands_sep:
+        text = F.replace(text, F.lit(thousands_sep), F.lit(""))
+    return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
 
 
 def parse_failed(raw: Column | str, parsed: Column) -> Column:

@@ -30,5 +30,5 @@ def is_blank(name: str, trim: bool = False) -> Column:
 
 
 def is_not_finite(name: str) -> Column:
-    c = F.col(quoted(name))
-    return F.isnan(c) | c.isin(float("inf"), float("-inf"))
+    """True for both infinities and for NaN, which Spark orders above infinity."""
+    return F.abs(F.col(quoted(name))) >= F.lit(float("inf"))

@@ -49,14 +49,13 @@ def merge_payments_salted(
 ) -> DataFrame:
     """As ``merge_payments`` in two phases, the first spread over ``salts`` sub-groups per key.
 
-    The salt is a hash of the row, so a retried task puts a row where the first attempt did.
-    Sums are already combined before the shuffle without it; use this when a key has so many
-    partial rows that one reducer is slow on them.
+    The first phase also keeps different representatives apart, so it only sums and needs no
+    sort; the second finds the smallest ones among the few rows left. The salt is a hash of the
+    row, so a retried task puts a row where the first attempt did. Sums are combined before the
+    shuffle without it too; use this when a key has so many partial rows that one reducer is slow.
     """
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("salt")
-    subtotals = df.groupBy(salt, *keys).agg(
-        *[F.sum(cents(F.col(c))).alias(c) for c in amounts], *[F.min(c).alias(c) for c in representatives]
-    )
+    subtotals = df.groupBy(salt, *keys, *representatives).agg(*[F.sum(cents(F.col(c))).alias(c) for c in amounts])
     return subtotals.groupBy(*keys).agg(
         *[(F.sum(c) / F.lit(100.0)).alias(c) for c in amounts], *[F.min(c).alias(c) for c in representatives]
     )
@@ -128,14 +127,14 @@ def beneficiary_master(df: DataFrame, schemes: Sequence[Scheme] = SCHEMES) -> Da
 
     All columns come from a single aggregation per beneficiary, hence a single shuffle. Amounts
     are put into cents once per row, ahead of the 38 sums. The slug columns of a partial row are
-    mostly NULL, which costs next to nothing once compressed.
+    mostly zero, which costs next to nothing once compressed.
     """
     in_cents = df.filter(F.col("beneficiary").isNotNull()).select(
         "beneficiary", SLUG, *[cents(F.col(c)).alias(c) for c in MACRO_COLUMNS]
     )
-    payout = F.col(PUBLIC_PAYOUT)
+    payout = F.coalesce(F.col(PUBLIC_PAYOUT), F.lit(0.0))
     macros = {c: F.sum(c) for c in MACRO_COLUMNS}
-    per_slug = {s: F.coalesce(F.sum(F.when(F.col(SLUG) == s, payout)), F.lit(0.0)) for s in slugs(schemes)}
+    per_slug = {s: F.sum(F.when(F.col(SLUG) == s, payout).otherwise(F.lit(0.0))) for s in slugs(schemes)}
     return in_cents.groupBy("beneficiary").agg(
         *[(total / F.lit(100.0)).alias(name) for name, total in (macros | per_slug).items()]
     )

@@ -117,10 +117,12 @@ def guard(
     """The same rows, but the job that reads them fails at the first broken rule.
 
     Put it under a write: the data is checked while it is written, without a pass of its own, and
-    a failed job commits nothing.
+    a failed job commits nothing. Every column carries its own rules, so a column nobody reads is
+    not checked and none is computed twice.
     """
-    holds = F.lit(True)
-    for rule, column, broken in reversed(_rules(df, required, amounts, trim)):
-        failure = F.raise_error(F.lit(f"{GUARD_MARK}{rule} {column};")).cast("boolean")
-        holds = F.when(broken, failure).otherwise(holds)
-    return df.filter(holds)
+    guarded = {}
+    for rule, column, broken in _rules(df, required, amounts, trim):
+        failure = F.raise_error(F.lit(f"{GUARD_MARK}{rule} {column};"))
+        checked = guarded.get(column, F.col(quoted(column)))
+        guarded[column] = F.when(broken, failure).otherwise(checked)
+    return df.withColumns(guarded)

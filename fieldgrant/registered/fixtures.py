@@ -32,7 +32,7 @@ def money_text(c: str) -> Column:
 
 
 def comma_text(c: str) -> Column:
-    return F.translate(money_text(c), ".", ",")
+    return F.replace(money_text(c), F.lit("."), F.lit(","))
 
 
 def bronze(spark: SparkSession, sf_dir: str, labels: bool = False) -> DataFrame:
