@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.amounts import parse_failed
 from ..functions.names import quoted
 from ..operators.quality import GUARD_MARK, QualityViolation, enforce_schema, guard
-from ..operators.shape import fill_missing, map_columns, stamp_silver
+from ..operators.shape import fill_missing, stamp_silver
 from ..sources.sinks import read_bronze_dataset, write_silver
 from ..spec import DATASETS, DatasetSpec
 from . import bronze
@@ -21,23 +21,35 @@ from .ledger import Ledger
 STAGE = "SILVER"
 
 
-def intake_metrics(df: DataFrame, spec: DatasetSpec) -> list[Column]:
-    """Aggregates over a prepared bronze frame: rows, missing values per column, and values given
-    that did not parse. After the fills nobody can tell these from true zeros."""
+_RAW = "raw_"
+
+
+def _mapped_with_raw(prepared: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The mapped columns before any fill, and beside each parsed one the text it came from."""
+    raw = [
+        F.col(quoted(field.present_source(prepared.columns))).alias(_RAW + field.target)
+        for field in spec.fields
+        if field.parse is not None
+    ]
+    return prepared.select(*[field.expression(prepared.columns) for field in spec.fields], *raw)
+
+
+def intake_metrics(spec: DatasetSpec) -> list[Column]:
+    """Aggregates over mapped columns: rows, missing values per column, and values given that did
+    not parse. After the fills nobody can tell these from true zeros."""
     metrics = [F.count(F.lit(1)).alias("rows")]
     for field in spec.fields:
-        value = field.expression(df.columns)
+        value = F.col(field.target)
         metrics.append(F.count_if(value.isNull()).alias(f"missing_{field.target}"))
         if field.parse is not None:
-            raw = next(c for c in (field.source, *field.aliases) if c in df.columns)
-            metrics.append(F.count_if(parse_failed(F.col(quoted(raw)), value)).alias(f"unparsed_{field.target}"))
+            metrics.append(F.count_if(parse_failed(_RAW + field.target, value)).alias(f"unparsed_{field.target}"))
     return metrics
 
 
 def intake_report(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """The intake metrics as rows: (metric, value)."""
     prepared = df if spec.prepare is None else df.transform(spec.prepare)
-    counted = prepared.agg(*intake_metrics(prepared, spec))
+    counted = _mapped_with_raw(prepared, spec).agg(*intake_metrics(spec))
     rows = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in counted.columns]
     return counted.select(F.inline(F.array(*rows)))
 
@@ -68,8 +80,9 @@ def run_silver(
             raise QualityViolation("not_empty")
         intake = Observation()
         silver = (
-            prepared.observe(intake, *intake_metrics(prepared, spec))
-            .transform(map_columns, spec)
+            _mapped_with_raw(prepared, spec)
+            .observe(intake, *intake_metrics(spec))
+            .select(*[field.target for field in spec.fields])
             .transform(fill_missing)
             .transform(stamp_silver, at)
         )

@@ -75,8 +75,7 @@ def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = landing.file_fingerprints(spark, sf_dir)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "fingerprint")
+    return landing.file_fingerprints(spark, sf_dir).drop("path")
 
 
 def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,24 +17,27 @@ DATA_SUFFIXES = ("csv", "xlsx", "xls", "parquet", "json", "txt")
 SPREADSHEET_SUFFIXES = (".xlsx", ".xls")
 
 
+def _landed(spark: SparkSession, root: str, suffixes: Sequence[str]) -> DataFrame:
+    name = F.element_at(F.split("path", "/"), -1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.withColumn("file_name", name).filter(
+        F.col("file_name").rlike(rf"(?i)^.+\.({'|'.join(suffixes)})(\.[^/]*)?$")
+    )
+
+
 def inventory(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUFFIXES) -> DataFrame:
     """Data files below ``root``: (path, file_name, length, modified_at). File content is not read."""
-    kinds = "|".join(suffixes)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select(
-        "path",
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        "length",
-        F.col("modificationTime").alias("modified_at"),
-    ).filter(F.col("file_name").rlike(rf"(?i)^.+\.({kinds})(\.[^/]*)?$"))
+    return _landed(spark, root, suffixes).select(
+        "path", "file_name", "length", F.col("modificationTime").alias("modified_at")
+    )
 
 
 def file_fingerprints(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUFFIXES) -> DataFrame:
     """MD5 of each data file's bytes. Spark holds one file per row, at most 2 GB each; compare
     larger files by ``landing_fingerprint`` or by ``dataset_fingerprint`` of their rows."""
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    wanted = inventory(spark, root, suffixes).select("path")
-    return content.join(wanted, "path", "left_semi").select("path", "length", F.md5("content").alias("fingerprint"))
+    return _landed(spark, root, suffixes).select(
+        "path", "file_name", "length", F.md5("content").alias("fingerprint")
+    )
 
 
 def landing_fingerprint(files: DataFrame) -> DataFrame:
@@ -55,8 +58,13 @@ def dataset_files(spark: SparkSession, landing_root: str, country: str, year: st
 
 
 def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """One row per anchor: (key, position, link), in document order."""
-    return pages.select(key, F.posexplode(links.hrefs(F.col(html))).alias("position", "link"))
+    """One row per anchor: (key, position, link), in document order.
+
+    Exploding with outer semantics and dropping the empty rows afterwards keeps Spark from
+    evaluating the extraction twice, once more as a filter for pages without links.
+    """
+    found = pages.select(key, F.posexplode_outer(links.hrefs(F.col(html))).alias("position", "link"))
+    return found.filter(F.col("link").isNotNull())
 
 
 def first_matching_link(
@@ -73,7 +81,7 @@ def first_matching_link(
     """
     first = links.first_href(links.hrefs(F.col(html)), contains, any_of)
     return (
-        pages.select(key, F.col(url).alias("_base"), first.alias("_href"))
+        pages.select(key, F.col(url).alias("_base"), F.explode_outer(F.array(first)).alias("_href"))
         .filter(F.col("_href").isNotNull())
         .select(key, links.absolute_url(F.col("_base"), F.col("_href")).alias("link"))
     )

@@ -44,8 +44,11 @@ class FieldSpec:
     parse: Parser | None = None
     aliases: tuple[str, ...] = ()
 
+    def present_source(self, available: list[str]) -> str:
+        return next((c for c in (self.source, *self.aliases) if c in available), self.source)
+
     def expression(self, available: list[str]) -> Column:
-        name = next((c for c in (self.source, *self.aliases) if c in available), self.source)
+        name = self.present_source(available)
         value = F.col(quoted(name)) if self.parse is None else self.parse(name)
         return value.alias(self.target)
 
