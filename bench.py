@@ -38,7 +38,7 @@ HEADLINES = (
     "first_matching_link",
     "dataset_fingerprint",
 )
-WARM_UPS = 3
+WARM_UPS = 2
 RUNS = 5
 
 
