@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..catalog import active_sources
 from ..operators.shape import stamp_provenance
-from ..sources.landing import dataset_files, inventory, landing_fingerprint
+from ..sources.landing import dataset_inventory, landing_fingerprint, scannable_paths
 from ..sources.readers import read_landed
 from ..sources.sinks import write_bronze
 from .ledger import Ledger
@@ -47,10 +47,10 @@ def run_bronze(
     dataset_id = f"{country.upper()}_{year}"
     fingerprint = None
     try:
-        files = dataset_files(spark, landing_root, country, year)
+        landed = dataset_inventory(spark, landing_root, country, year)
+        files = [] if landed is None else scannable_paths(landed)
         if not files:
             return RunOutcome(dataset_id, EMPTY, "no landed files")
-        landed = inventory(spark, f"{landing_root}/{country}/{year}_LANDING")
         fingerprint = landing_fingerprint(landed).first().fingerprint
         if ledger.is_processed(STAGE, country, year, fingerprint):
             return RunOutcome(dataset_id, SKIPPED)

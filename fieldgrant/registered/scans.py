@@ -49,10 +49,16 @@ def _as_json_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"value": ["]"]})
 
 
+ROWS_PER_DOCUMENT = 50_000
+
+
 def scan_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "part-json")
-    objects = table(spark, sf_dir, "part").select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
-    objects.mapInPandas(_as_json_array, "value string").write.text(path)
+    part = table(spark, sf_dir, "part")
+    # A document is read by one task, so it holds a bounded number of rows.
+    documents = part.count() // ROWS_PER_DOCUMENT + 1
+    objects = part.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
+    objects.repartition(documents).mapInPandas(_as_json_array, "value string").write.text(path)
     return readers.read_files(spark, path, ".json")
 
 

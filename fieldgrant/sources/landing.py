@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +51,21 @@ def landing_fingerprint(files: DataFrame) -> DataFrame:
     )
 
 
-def dataset_files(spark: SparkSession, landing_root: str, country: str, year: str) -> list[str]:
-    """Scannable files of one dataset, below ``<country>/<year>_LANDING``."""
-    found = inventory(spark, f"{landing_root}/{country}/{year}_LANDING", [s[1:] for s in SCANNABLE_SUFFIXES])
-    is_scannable = F.lower("file_name").rlike(r"\.(csv|txt|json|parquet)$")
-    return [r.path for r in found.filter(is_scannable).select("path").orderBy("path").toLocalIterator()]
+def dataset_inventory(spark: SparkSession, landing_root: str, country: str, year: str) -> DataFrame | None:
+    """Data files of one dataset, below ``<country>/<year>_LANDING``; None where nothing has landed."""
+    try:
+        return inventory(spark, f"{landing_root}/{country}/{year}_LANDING")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def scannable_paths(files: DataFrame) -> list[str]:
+    """Paths of the inventory's files that Spark can scan, in order."""
+    kinds = "|".join(s[1:] for s in SCANNABLE_SUFFIXES)
+    wanted = files.filter(F.lower("file_name").rlike(rf"\.({kinds})$"))
+    return [r.path for r in wanted.select("path").orderBy("path").toLocalIterator()]
 
 
 def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

@@ -63,6 +63,10 @@ def test_broken_rule_commits_nothing_and_is_recorded(spark, tmp_path, lake):
 
 
 def test_empty_and_missing_input(tmp_path, lake):
+    assert lake.run_bronze().status == "empty"
+    land(tmp_path, "", "a.pdf")
+    assert lake.run_bronze().status == "empty"
+    assert lake.ledger.events().isEmpty()
     land(tmp_path, "")
     assert lake.run_bronze().status == "processed"
     assert lake.run_silver().status == "failed"
