@@ -27,10 +27,9 @@ HEADLINES = (
     "merge_salted",
     "beneficiary_master",
     "beneficiary_master_join",
-    "classify_published",
-    "top_beneficiaries",
     "missing_profile",
     "distinct_profile",
+    "quality_report",
     "quality_prefill",
     "duplicate_grain",
     "ledger_current",
