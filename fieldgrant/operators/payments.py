@@ -49,13 +49,14 @@ def merge_payments_salted(
 ) -> DataFrame:
     """As ``merge_payments`` in two phases, the first spread over ``salts`` sub-groups per key.
 
-    The first phase also keeps different representatives apart, so it only sums and needs no
-    sort; the second finds the smallest ones among the few rows left. The salt is a hash of the
-    row, so a retried task puts a row where the first attempt did. Sums are combined before the
-    shuffle without it too; use this when a key has so many partial rows that one reducer is slow.
+    The salt is a hash of the representatives, so rows alike in them stay together and the first phase still shrinks its
+    input, while a frequent key whose rows differ is spread; a retried task puts a row where the first attempt did. Sums are
+    combined before the shuffle without a salt too: use this when a key has so many partial rows that one reducer is slow.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("salt")
-    subtotals = df.groupBy(salt, *keys, *representatives).agg(*[F.sum(cents(F.col(c))).alias(c) for c in amounts])
+    salt = F.pmod(F.xxhash64(*representatives), F.lit(salts)).alias("salt")
+    subtotals = df.groupBy(salt, *keys).agg(
+        *[F.sum(cents(F.col(c))).alias(c) for c in amounts], *[F.min(c).alias(c) for c in representatives]
+    )
     return subtotals.groupBy(*keys).agg(
         *[(F.sum(c) / F.lit(100.0)).alias(c) for c in amounts], *[F.min(c).alias(c) for c in representatives]
     )

@@ -41,7 +41,8 @@ def schema_findings(schema: StructType, contract: StructType) -> list[Finding]:
 
 
 def schema_report(df: DataFrame, contract: StructType = SILVER_SCHEMA) -> DataFrame:
-    """The findings as rows, with the number of rows of the frame each of them affects."""
+    """The findings as rows, with the number of rows of the frame, all of which each of them affects. The count
+    reads no column; ``schema_findings`` gives the findings alone, from metadata."""
     found = schema_findings(df.schema, contract)
     layout = "array<struct<rule:string,column_name:string,expected:string,actual:string>>"
     rows = [

@@ -49,13 +49,17 @@ def promote_header(df: DataFrame, anchor: str, keep_null_rows: bool = False) ->
 
     The row is found by content, so it does not matter which file or task holds it. Header rows
     are dropped; rows with NULL in the first column go with them unless ``keep_null_rows``.
+    Header rows of several files must agree: a column holds one thing in all of them.
     Cells without text in the header row keep their old name; provenance columns are left alone.
     """
     data = [c for c in df.columns if c not in PROVENANCE_COLUMNS]
     first = F.col(quoted(data[0]))
-    header = df.select(*[F.col(quoted(c)) for c in data]).filter(first == anchor).first()
-    if header is None:
+    headers = df.select(*[F.col(quoted(c)) for c in data]).filter(first == anchor).distinct().limit(2).collect()
+    if not headers:
         raise ValueError(f"no row starts with {anchor!r}")
+    if len(headers) > 1:
+        raise ValueError(f"rows that start with {anchor!r} name different columns")
+    header = headers[0]
     promoted = iter(unique_names([str(new) if new is not None else old for old, new in zip(data, header)]))
     is_data = first != anchor
     if keep_null_rows:

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
+
 PROCESSED = "processed"
 FAILED = "failed"
 
@@ -106,6 +108,19 @@ class Ledger:
         """The record of one dataset: one row, or none."""
         return self.current(stage).filter(F.col("dataset_id") == f"{country.upper()}_{year}")
 
+    def latest_processed(self, stage: str, country: str, year: str) -> str | None:
+        """Fingerprint of the dataset's latest processed event, whatever failed since; None without one."""
+        done = self.events(stage).filter(
+            (F.col("dataset_id") == f"{country.upper()}_{year}") & (F.col("status") == PROCESSED)
+        )
+        return done.agg(F.max_by("fingerprint", "recorded_at")).first()[0]
+
+    def compact(self) -> None:
+        """Rewrite the events as one file per stage. Not while a run may append."""
+        spread = self.events().repartition("stage")
+        held = materialise(spread, "ledger")
+        held.repartition("stage").write.mode("overwrite").partitionBy("stage").parquet(self.path)
+
     def is_processed(self, stage: str, country: str, year: str, fingerprint: str | None = None) -> bool:
         done = self.record(stage, country, year).filter(
             (F.col("status") == PROCESSED) & F.col("fingerprint").eqNullSafe(F.lit(fingerprint))

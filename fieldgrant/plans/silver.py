@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions.amounts import parse_failed
 from ..functions.names import quoted
+from ..operators.profile import duplicate_grain
 from ..operators.quality import GUARD_MARK, QualityViolation, enforce_schema, guard
 from ..operators.shape import fill_missing, stamp_silver
 from ..sources.sinks import read_bronze_dataset, write_silver
-from ..spec import DATASETS, DatasetSpec
+from ..spec import DATASETS, SILVER_SCHEMA, DatasetSpec
 from . import bronze
 from .bronze import SKIPPED, RunOutcome
 from .ledger import Ledger
@@ -61,18 +62,21 @@ def run_silver(
     ledger: Ledger,
     spec: DatasetSpec,
     at: Column | None = None,
+    unique_grain: bool = False,
 ) -> RunOutcome:
     """Bring one bronze dataset into the silver table.
 
     Reads bronze once: parsing, intake metrics, quality rules and the write are one job, and a
-    broken rule fails that job before it commits. Skipped while the bronze fingerprint is unchanged.
+    broken rule fails that job before it commits. Skipped while the bronze fingerprint is unchanged; data without a
+    fingerprint is never taken for done. Columns beyond the contract that the spec names are kept after it. The
+    ledger tells how many grain values have more than one row; with ``unique_grain`` any is a broken rule.
     """
     country, year = spec.country, spec.year
     fingerprint = None
     try:
-        upstream = ledger.record(bronze.STAGE, country, year).first()
-        fingerprint = upstream.fingerprint if upstream else None
-        if ledger.is_processed(STAGE, country, year, fingerprint):
+        # What bronze holds is its latest processed run, even if one has failed since.
+        fingerprint = ledger.latest_processed(bronze.STAGE, country, year)
+        if fingerprint is not None and ledger.is_processed(STAGE, country, year, fingerprint):
             return RunOutcome(spec.dataset_id, SKIPPED)
         raw = read_bronze_dataset(spark, bronze_path, country, year)
         prepared = raw if spec.prepare is None else raw.transform(spec.prepare)
@@ -86,8 +90,14 @@ def run_silver(
             .transform(fill_missing)
             .transform(stamp_silver, at)
         )
-        write_silver(guard(enforce_schema(silver)), silver_path)
-        metrics = intake.get
+        extra = [f.target for f in spec.fields if f.target not in SILVER_SCHEMA.names]
+        silver = silver.select(*[c for c in SILVER_SCHEMA.names if c in silver.columns], *extra)
+        checked = guard(enforce_schema(silver, spec.contract(silver.schema)))
+        repeated = duplicate_grain(silver, spec.grain).count()
+        if repeated and unique_grain:
+            raise QualityViolation(f"unique grain: {repeated} repeated")
+        write_silver(checked, silver_path)
+        metrics = intake.get | {"repeated_grain": repeated}
     except Exception as e:
         broken = re.search(re.escape(GUARD_MARK) + "[^;]+", str(e))
         reason = broken.group(0) if broken else str(e)

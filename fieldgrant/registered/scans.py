@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,31 +32,20 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_json(spark, path, schema=rows.schema, lines=True)
 
 
-def _as_json_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Turn a partition's JSON objects, one per row, into the lines of one array."""
-    opened = False
-    for batch in batches:
-        if len(batch):
-            lines = ",\n" + batch["value"]
-            if not opened:
-                lines.iloc[0] = "[\n" + batch["value"].iloc[0]
-                opened = True
-            yield pd.DataFrame({"value": lines})
-    if opened:
-        yield pd.DataFrame({"value": ["]"]})
-
-
-ROWS_PER_DOCUMENT = 50_000
+#: Keys per landed document; a document is read by one task.
+KEYS_PER_DOCUMENT = 10_000
 
 
 def scan_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "part-json")
-    part = table(spark, sf_dir, "part")
-    # A document is read by one task, so it holds a bounded number of rows.
-    documents = part.count() // ROWS_PER_DOCUMENT + 1
-    objects = part.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
-    objects.repartition(documents).mapInPandas(_as_json_array, "value string").write.text(path)
-    return readers.read_files(spark, path, ".json")
+    rows = table(spark, sf_dir, "part").select(
+        F.floor(F.col("p_partkey") / KEYS_PER_DOCUMENT).alias("document"),
+        F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"),
+    )
+    listed = F.array_join(F.collect_list("value"), ",\n")
+    documents = rows.groupBy("document").agg(F.concat(F.lit("[\n"), listed, F.lit("\n]")).alias("value"))
+    documents.write.partitionBy("document").text(path)
+    return readers.read_files(spark, path, ".json").drop("document")
 
 
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,8 +134,10 @@ SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailpri
     "content_fingerprint": "SELECT doc_id, md5(text) AS fingerprint FROM documents",
     "dataset_fingerprint": """
 SELECT count(*) AS row_count,
-  CAST(sum(('0x' || substr(md5(concat_ws(chr(31), doc_id::VARCHAR, text)), 1, 15))::BIGINT) AS VARCHAR) AS fingerprint
-FROM documents""",
+  concat_ws('-', sum(('0x' || substr(d, 1, 8))::BIGINT)::VARCHAR, sum(('0x' || substr(d, 9, 8))::BIGINT)::VARCHAR,
+    sum(('0x' || substr(d, 17, 8))::BIGINT)::VARCHAR, sum(('0x' || substr(d, 25, 8))::BIGINT)::VARCHAR) AS fingerprint
+FROM (SELECT md5(coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(length(text) || ':' || text, '-')) AS d
+  FROM documents)""",
     "bronze_roundtrip": fixtures.BRONZE_SQL,
     "silver_roundtrip": fixtures.silver_sql(),
     "catalog_active": """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import links
-from .readers import SCANNABLE_SUFFIXES
+from ..functions.fingerprints import summed
+from .readers import SCANNABLE
 
 # Suffixes that make a landed file a data file (any of a name's suffixes counts).
 DATA_SUFFIXES = ("csv", "xlsx", "xls", "parquet", "json", "txt")
@@ -41,13 +43,17 @@ def file_fingerprints(spark: SparkSession, root: str, suffixes: Sequence[str] =
     )
 
 
-def landing_fingerprint(files: DataFrame) -> DataFrame:
-    """One row (file_count, fingerprint) over an inventory: changes with any file's name, size or time."""
-    stamp = F.concat_ws("|", "file_name", F.col("length").cast("string"), F.col("modified_at").cast("string"))
-    leading = F.conv(F.substring(F.md5(stamp.cast("binary")), 1, 15), 16, 10).cast("decimal(20,0)")
+def landing_fingerprint(files: DataFrame, root: str = "") -> DataFrame:
+    """One row for an inventory: (file_count, byte_count, fingerprint) of the files' paths below ``root``, lengths and times of change.
+
+    The times are counted in microseconds, so the session's time zone doesn't matter.
+    """
+    below = F.regexp_replace("path", r"^.*?" + re.escape(root.rstrip("/").rsplit("/", 1)[-1]) + "/", "") if root else F.col("path")
+    told = F.concat(F.length(below), F.lit(":"), below, F.lit("|"), "length", F.lit("|"), F.unix_micros("modified_at"))
     return files.agg(
         F.count(F.lit(1)).alias("file_count"),
-        F.coalesce(F.sum(leading), F.lit(0)).cast("string").alias("fingerprint"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("byte_count"),
+        summed(F.md5(told.cast("binary"))).alias("fingerprint"),
     )
 
 
@@ -61,11 +67,12 @@ def dataset_inventory(spark: SparkSession, landing_root: str, country: str, year
         raise
 
 
-def scannable_paths(files: DataFrame) -> list[str]:
-    """Paths of the inventory's files that Spark can scan, in order."""
-    kinds = "|".join(s[1:] for s in SCANNABLE_SUFFIXES)
-    wanted = files.filter(F.lower("file_name").rlike(rf"\.({kinds})$"))
-    return [r.path for r in wanted.select("path").orderBy("path").toLocalIterator()]
+def landed_paths(files: DataFrame) -> tuple[list[str], list[str]]:
+    """Paths of the inventory's files that Spark can scan, and of the data files it cannot (spreadsheets, backups), in order.
+    One short text per file comes to the driver, which names them to the readers."""
+    listed = files.select("path", F.col("file_name").rlike(SCANNABLE).alias("scannable")).orderBy("path")
+    found = [(r.path, r.scannable) for r in listed.collect()]
+    return [p for p, ok in found if ok], [p for p, ok in found if not ok]
 
 
 def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from pathlib import PurePosixPath
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.names import normalise_columns
@@ -14,6 +16,10 @@ from ..operators.shape import as_text, union_by_name
 # Formats that can be scanned, by file suffix.
 DELIMITED_SUFFIXES = (".csv", ".txt")
 SCANNABLE_SUFFIXES = (".csv", ".txt", ".json", ".parquet")
+#: Compressed text files that Spark reads as it reads plain ones (a file is one task then).
+COMPRESSED_SUFFIXES = (".gz", ".bz2", ".deflate")
+#: Names of files that can be scanned.
+SCANNABLE = r"(?i)\.(parquet|(csv|txt|json)(\.(gz|bz2|deflate))?)$"
 
 # Encoding labels found in source catalogs -> charset names Spark accepts.
 CHARSETS = {
@@ -37,7 +43,11 @@ Paths = str | Sequence[str]
 
 
 def file_suffix(path: str) -> str:
-    return PurePosixPath(path).suffix.lower()
+    """The suffix that tells the format: ``.csv`` for ``a.CSV.gz``."""
+    suffixes = [s.lower() for s in PurePosixPath(path).suffixes]
+    if len(suffixes) > 1 and suffixes[-1] in COMPRESSED_SUFFIXES:
+        return suffixes[-2]
+    return suffixes[-1] if suffixes else ""
 
 
 def charset(label: str | None) -> str:
@@ -84,6 +94,37 @@ def read_parquet(spark: SparkSession, paths: Paths, schema: StructType | str | N
     return reader.parquet(*_as_list(paths))
 
 
+class ShortenedJson(ValueError):
+    """A document of which Spark would read the first value only."""
+
+
+def _json_layouts(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Files whose every line is a JSON value, and files that hold one document over several lines.
+
+    One job over all files. A file of several documents over several lines is an error: Spark reads the first only.
+    """
+    text = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("line"))
+    bare = F.regexp_replace("line", r'"(\\.|[^"\\])*"?', '""')  # strings aside, what is left is structure
+    depth = F.length(F.regexp_replace(bare, r"[^{\[]", "")) - F.length(F.regexp_replace(bare, r"[^}\]]", ""))
+    files = text.filter("line <> ''").groupBy("path").agg(
+        F.count_if(F.get_json_object("line", "$").isNull()).alias("broken"),
+        F.count_if(bare.rlike(r"[}\]]\s*[{\[]")).alias("joined"),
+        F.sum(depth).alias("depth"),
+    )
+    found = {r["path"]: r for r in files.collect()}
+    names = {unquote(p.split(":", 1)[-1].replace("//", "/")): r for p, r in found.items()}
+    lines, documents = [], []
+    for path in paths:
+        r = names.get(unquote(path.split(":", 1)[-1].replace("//", "/")))
+        if r is None or not r["broken"]:
+            lines.append(path)
+        elif r["joined"] or r["depth"]:
+            raise ShortenedJson(f"more than one JSON document, or a broken one, in {path}")
+        else:
+            documents.append(path)
+    return lines, documents
+
+
 def read_files(
     spark: SparkSession,
     paths: Paths,
@@ -91,48 +132,79 @@ def read_files(
     delimiter: str = ";",
     encoding: str | None = None,
     same_header: bool = False,
+    json_lines: bool | None = None,
 ) -> DataFrame:
-    """Scan files of one format, chosen by suffix."""
+    """Scan files of one format, chosen by suffix. ``json_lines`` tells whether JSON files hold one value per line; by default they are
+    single documents."""
     suffix = suffix.lower()
     if suffix in DELIMITED_SUFFIXES:
         return read_delimited(spark, paths, delimiter, encoding, same_header)
     if suffix == ".json":
-        return read_json(spark, paths)
+        return read_json(spark, paths, lines=bool(json_lines))
     if suffix == ".parquet":
         return read_parquet(spark, paths)
     raise ValueError(f"cannot scan files of type {suffix!r}")
 
 
+def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Delimited files by their first line with text, in one job however many files there are.
+
+    Lines are compared as Spark decodes them; files grouped together wrongly would fail the scan, which checks headers.
+    """
+    text = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("line"),
+    )
+    first = text.filter((F.col("start") == 0) & (F.trim("value") != "")).groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    headers = {unquote(r["path"].split(":", 1)[-1].replace("//", "/")): r["header"] for r in first.collect()}
+    groups: dict[str | None, list[str]] = {}
+    for path in paths:
+        groups.setdefault(headers.get(unquote(path.split(":", 1)[-1].replace("//", "/"))), []).append(path)
+    return list(groups.values())
+
+
+def _parquet_frames(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """One scan with all columns of all files; files whose types can't be merged are read one by one."""
+    try:
+        return [spark.read.option("mergeSchema", "true").parquet(*paths)]
+    except Exception as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+        return [read_parquet(spark, p) for p in paths]
+
+
 def read_landed(
     spark: SparkSession,
     files: Sequence[str],
     delimiter: str = ";",
     encoding: str | None = None,
     same_header: bool = False,
+    json_lines: bool | None = None,
 ) -> DataFrame:
     """All scannable files of a dataset as one all-text frame with normalised names.
 
-    Files are grouped by format and columns, one scan per group, and the groups are united by
-    name with NULL for columns a group lacks. Finding the groups opens each file's header only.
-    With ``same_header=True`` the files of a format are one group without that look.
+    JSON and Parquet files are one scan each, with the columns of all files; delimited files are one scan per
+    header, found in one job over all of them. The parts are united by name with NULL for columns a part lacks.
+    ``same_header=True`` says that all delimited files share a header and saves that job. ``json_lines`` None: told
+    from the files.
     """
-    groups: dict[tuple, list[str]] = {}
+    by_suffix: dict[str, list[str]] = {}
     for path in sorted(files):
-        suffix = file_suffix(path)
-        if suffix not in SCANNABLE_SUFFIXES:
-            continue
-        layout: tuple = ()
-        if not same_header:
-            one = read_files(spark, path, suffix, delimiter, encoding)
-            layout = tuple((f.name, f.dataType.simpleString()) for f in one.schema)
-        groups.setdefault((suffix, layout), []).append(path)
-    if not groups:
+        by_suffix.setdefault(file_suffix(path), []).append(path)
+    frames: list[DataFrame] = []
+    delimited = [p for s in DELIMITED_SUFFIXES for p in by_suffix.get(s, [])]
+    if delimited:
+        for group in [delimited] if same_header else header_groups(spark, delimited):
+            frames.append(read_delimited(spark, group, delimiter, encoding, same_header=True))
+    if documents := by_suffix.get(".json"):
+        lines, whole = _json_layouts(spark, documents) if json_lines is None else (documents, []) if json_lines else ([], documents)
+        frames += [read_json(spark, lines, lines=True)] if lines else []
+        frames += [read_json(spark, whole)] if whole else []
+    if parquet := by_suffix.get(".parquet"):
+        frames += _parquet_frames(spark, parquet)
+    if not frames:
         raise FileNotFoundError("no scannable files")
-    frames = [
-        as_text(normalise_columns(read_files(spark, group, suffix, delimiter, encoding, same_header)))
-        for (suffix, _), group in groups.items()
-    ]
-    return union_by_name(frames)
+    return union_by_name([as_text(normalise_columns(f)) for f in frames])
 
 
 def _as_list(paths: Paths) -> list[str]:

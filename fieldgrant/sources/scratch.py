@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(1)
+def _local_root() -> str:
+    folder = tempfile.mkdtemp(prefix="fieldgrant-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder. A local session without one gets a fresh temporary folder;
-    a cluster session must name a folder that all executors share."""
+    """The session's checkpoint folder. A local session without one gets a temporary folder of its own, removed when
+    Python ends; a cluster session must name a folder that all executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldgrant-"))
-    return spark.sparkContext.getCheckpointDir()
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -42,6 +42,18 @@ def write_bronze(df: DataFrame, path: str, rebalance: bool = False) -> None:
     write_partitioned(df, path, BRONZE_PARTITIONS, rebalance)
 
 
+def replace_bronze(df: DataFrame, path: str, country: str, year: str) -> int:
+    """Replace one dataset of the bronze table, also by nothing, and give its number of rows."""
+    counted = Observation()
+    write_bronze(df.observe(counted, F.count(F.lit(1)).alias("rows")), path)
+    rows = counted.get["rows"]
+    if not rows:
+        # A dynamic overwrite replaces only partitions that it writes to.
+        empty = df.drop(*BRONZE_PARTITIONS)
+        empty.write.mode("overwrite").parquet(f"{path}/source_country={country}/source_year={year}")
+    return rows
+
+
 def write_silver(df: DataFrame, path: str, rebalance: bool = False) -> None:
     write_partitioned(df, path, SILVER_PARTITIONS, rebalance)
 

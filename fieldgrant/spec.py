@@ -72,6 +72,12 @@ class DatasetSpec:
         return replace(self, fields=self.fields + extra)
 
 
+    def contract(self, found: StructType) -> StructType:
+        """The silver contract, widened by the columns of this spec that it doesn't have, of the types found."""
+        extra = [f.target for f in self.fields if f.target not in SILVER_SCHEMA.names]
+        return StructType(SILVER_SCHEMA.fields + [found[c] for c in extra])
+
+
 def payment_fields(
     beneficiary: str, municipality: str, code: str, eagf: str, eafrd: str, cofunding: str, parse: Parser
 ) -> tuple[FieldSpec, ...]:
@@ -103,6 +109,18 @@ def _title_row_preparation(anchor: str) -> Preparation:
     return prepare
 
 
+def _shift_preparation(date: str, amount: str) -> Preparation:
+    """Amounts that slipped into the date column go back; without such a column nothing is to be done."""
+
+    def prepare(df: DataFrame) -> DataFrame:
+        from .operators.repair import repair_shift
+
+        present = next((c for c in (date, misread_as_latin1(date)) if c in df.columns), None)
+        return df if present is None else repair_shift(df, present, amount)
+
+    return prepare
+
+
 # Source columns of the six published datasets.
 _SPAIN = payment_fields(
     beneficiary="beneficiario",
@@ -146,7 +164,7 @@ DATASETS = {
     for spec in (
         DatasetSpec("SPAIN", "2023", _SPAIN),
         DatasetSpec("SPAIN", "2024", _SPAIN),
-        DatasetSpec("IRELAND", "2023", _IRELAND_2023),
+        DatasetSpec("IRELAND", "2023", _IRELAND_2023, prepare=_shift_preparation("end_date_³", _IRELAND_2023[5].source)),
         DatasetSpec("IRELAND", "2024", _IRELAND_2024, prepare=_title_row_preparation(_IRELAND_2024[0].source)),
         DatasetSpec("GERMANY", "2023", _GERMANY),
         DatasetSpec("GERMANY", "2024", _GERMANY),

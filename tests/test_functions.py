@@ -114,3 +114,13 @@ def test_dataset_fingerprint_ignores_order_but_not_content(spark):
     assert dataset_fingerprint(df.fillna("")).first().fingerprint != first.fingerprint
     assert dataset_fingerprint(df.union(df.limit(1))).first().fingerprint != first.fingerprint
     assert dataset_fingerprint(df.limit(0)).first().row_count == 0
+
+
+def test_row_digests_differ_where_rows_do(spark):
+    from fieldgrant.functions.fingerprints import dataset_fingerprint
+
+    def found(*row):
+        return dataset_fingerprint(spark.createDataFrame([row], "a string, b string")).first().fingerprint
+
+    rows = [("a\x1fb", "c"), ("a", "b\x1fc"), (None, "x"), ("\x00", "x"), ("", "x"), ("-", "x"), ("1:a", ""), ("", "1:a")]
+    assert len({found(*r) for r in rows}) == len(rows)
