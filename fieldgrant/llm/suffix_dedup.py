@@ -29,7 +29,7 @@ from ..sources.scratch import scratch_path
 LENGTH = 400
 GRAM = 128
 #: Bytes that are searched for anchors, or suffix-sorted, at once.
-_SCAN, _SORT = 1 << 20, 1 << 21
+_SCAN, _SORT = 1 << 19, 1 << 20
 #: Runs that one anchor may have in one sorting task; beyond it they are cut finer (see ``_finer``).
 HOT = 2_000
 _STEP = 48
@@ -294,6 +294,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     runs = _stored(_runs(docs), "runs")
     anchors = runs.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("same").alias("lo"), F.max("same").alias("hi"))
     anchors = anchors.filter("k > 1").select(F.col("h").alias("h2"), (F.col("lo") != F.col("hi")).alias("mixed"))
+    # Stored, so that the join's sides are plain and a frequent anchor's rows can be split among tasks.
+    anchors = _stored(anchors, "anchors")
     again = _stored(runs.join(anchors, F.col("h") == F.col("h2")).drop("h2"), "again")
     plain = again.filter("NOT mixed").select("tid", "p", "n")
     mixed = again.filter("mixed")
