@@ -196,7 +196,7 @@ def test_number_of_jobs_does_not_follow_the_files(spark, tmp_path):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"files-{n}"))
 
-    assert jobs(40) == jobs(80)
+    assert jobs(80) == jobs(160)  # Spark lists more than 32 paths in a job of its own
 
 
 def test_stream_then_silver_then_batch(spark, tmp_path, lake):
