@@ -175,7 +175,9 @@ def write(docs: DataFrame, definition: str, path: str, end: int = END) -> None:
     segments to ``path``. A null text counts as empty; ``end`` follows every document."""
     sent = docs.sparkSession.sparkContext.broadcast(definition)
     rows = docs.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
-    ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
+    # Ids go to Python as text: pandas would turn numbers with a null among them into floating point.
+    ordered = ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(sent.value)
@@ -190,7 +192,7 @@ def write(docs: DataFrame, definition: str, path: str, end: int = END) -> None:
             return pd.DataFrame([row])
 
         for b in batches:
-            for i, text in zip(b["doc_id"].astype("Int64"), b["text"]):
+            for i, text in zip(b["doc_id"], b["text"]):
                 data = encoder.encode(text or "") + stop
                 if held and total + len(data) // size > SEGMENT_IDS:
                     yield made()
@@ -199,7 +201,7 @@ def write(docs: DataFrame, definition: str, path: str, end: int = END) -> None:
                 held.append(data)
                 total += len(data) // size
                 ends.append(total)
-                names.append(None if i is pd.NA else int(i))
+                names.append(None if i is None else int(i))
         if held:
             yield made()
 
@@ -228,16 +230,17 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 crc = [zlib.crc32(ids[a:z].tobytes()) for a, z in zip(starts, ends)]
                 yield pd.DataFrame(
                     {
-                        "part": part, "segment": segment, "doc_id": pd.array([None if x is None or x != x else int(x) for x in names], "Int64"),
+                        "part": part, "segment": segment, "doc_id": list(names),
                         "inside": starts, "n_tokens": ends - starts, "ids_crc32": crc,
                     }
                 )
 
-    found = files.select("part", "segment", "doc_ids", "data").mapInPandas(
-        documents, "part int, segment int, doc_id long, inside long, n_tokens long, ids_crc32 long"
+    ids = F.transform("doc_ids", lambda i: i.cast("string")).alias("doc_ids")
+    found = files.select("part", "segment", ids, "data").mapInPandas(
+        documents, "part int, segment int, doc_id string, inside long, n_tokens long, ids_crc32 long"
     )
     return found.join(offsets, ["part", "segment"]).select(
-        "doc_id", (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
+        F.col("doc_id").cast("long").alias("doc_id"), (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 

@@ -44,6 +44,7 @@ def odd_rows():
     add(28, "\n".join([base[5]] * 40))
     add(29, words(rng, 30_000))
     add(-5, "one", "xx", "ß")
+    add(2**62 + 1, "large id")
     return rows
 
 

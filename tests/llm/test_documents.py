@@ -288,6 +288,8 @@ def test_byte_bpe_equals_library(spark, odd, odd_rows, nothing):
     assert rows_of(byte_bpe.digests(odd, ranks, pattern), "*") == sorted(want, key=repr)
     decoded = byte_bpe.decode(byte_bpe.encode(odd, ranks, pattern), ranks, pattern)
     assert decoded.filter(F.col("decoded").cast("string") != F.coalesce("text", F.lit(""))).count() == 0
+    both = byte_bpe.round_trip(odd, ranks, pattern)
+    assert rows_of(both.select("doc_id", F.decode("decoded", "UTF-8").alias("t")), "*") == sorted(((r[0], r[1] or "") for r in odd_rows), key=repr)
     assert byte_bpe.digests(nothing, ranks, pattern).count() == 0
 
 
@@ -397,11 +399,11 @@ def test_language(spark, odd, nothing):
 def test_pipeline_stages_on_odd_rows(spark, odd, nothing, alike, tmp_path):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)], "doc_id long, quality int, toxic int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
-    for docs in (odd, nothing, alike):
+    for number, docs in enumerate((odd, nothing, alike)):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, str(tmp_path))
-            out.write.parquet(str(tmp_path / f"{id(docs)}-{name}"))
-            out = spark.read.parquet(str(tmp_path / f"{id(docs)}-{name}"))
+            out.write.parquet(str(tmp_path / f"{number}-{name}"))
+            out = spark.read.parquet(str(tmp_path / f"{number}-{name}"))
             if name != "tokens":
                 assert out.columns == docs.columns
                 docs = out
