@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 #: Pieces whose ids a worker remembers (the first ones met, so nearly all frequent ones), and pairs of tokens whose
 #: border it has judged.
 CACHE_PIECES = 600_000
-CACHE_PAIRS = 1_000_000
+CACHE_PAIRS = 600_000
 
 #: The pattern for which white space parts pieces as ``pieces`` uses; others are matched over the whole text.
 SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -256,16 +256,37 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> D
 def decode(rows: DataFrame, ranks: bytes, pattern: str, ids: str = "ids") -> DataFrame:
     """``rows`` with ``decoded`` (binary): the bytes that the ids stand for; null ids give null."""
     sent = rows.sparkSession.sparkContext.broadcast(ranks)
+    del pattern  # decoding needs the tokens alone
 
     @F.pandas_udf("binary")
     def back(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = text_encoder(sent.value, pattern).bpe
+        token = {i: t for t, i in read_ranks(sent.value).items()}.__getitem__
         for b in batches:
-            yield pd.Series([None if x is None else bpe.decode(np.asarray(x).tolist()) for x in b])
+            yield pd.Series([None if x is None else b"".join(map(token, np.asarray(x).tolist())) for x in b])
 
     return rows.withColumn("decoded", back(F.col(ids)))
 
 
+def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    """(doc_id, ids, decoded): encodes every text and decodes its ids, in one pass and a few hundred documents at a time,
+    so that a worker holds little. Nulls as for ``encode``."""
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    def both(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = text_encoder(sent.value, pattern)
+        for b in batches:
+            for start in range(0, len(b), 200):
+                part = b.iloc[start : start + 200]
+                ids = [np.array(encoder.encode(t or ""), np.int32) for t in part["text"]]
+                decoded = [encoder.bpe.decode(x.tolist()) for x in ids]
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "ids": ids, "decoded": decoded})
+
+    # As text: pandas would turn a column of numbers with a null into floating point.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    found = rows.mapInPandas(both, "doc_id string, ids array<int>, decoded binary")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+
+
 def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encodes every text, then decodes its ids. Made in one
     pass, so that ids needn't leave the worker."""
