@@ -62,9 +62,10 @@ def test_every_spec_maps_to_the_contract(spark, dataset):
     for misread in (False, True):
         names = [f.aliases[0] if misread and f.aliases else f.source for f in spec.fields]
         values = [f"{1 + i}.5" if f.parse else f.target for i, f in enumerate(spec.fields)]
-        data = [tuple(values)] if spec.prepare is None else [tuple(names), tuple(values)]
+        titled = dataset == "IRELAND_2024"  # its header is a row of the data
+        data = [tuple(names), tuple(values)] if titled else [tuple(values)]
         raw = spark.createDataFrame(data, ", ".join(f"`{n}` string" for n in names))
-        if spec.prepare is not None:
+        if titled:
             raw = raw.toDF("title", *names[1:])
         got = shape.to_silver(raw, spec)
         assert quality.schema_findings(got.schema, SILVER_SCHEMA) == []
