@@ -27,6 +27,8 @@ LEAF = 64
 RECALL = 0.98
 #: Vectors, and queries, of a leaf that one task compares; larger leaves are split.
 BLOCK = 8_000
+#: Parts over which equal queries are spread when they get their results.
+SALTS = 16
 
 
 @dataclass
@@ -120,37 +122,42 @@ def _calibrated(tree: Tree, unit: np.ndarray, n_leaves: int, rng: np.random.Gene
 
 
 def _unit(rows: pd.Series, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors, each scaled by a power of two (which changes no cosine), and their unit vectors."""
     x = np.stack(list(rows)).astype(np.float64) if len(rows) else np.zeros((0, size))
-    # Scaled first: the squares of very small or large components would underflow or overflow.
-    top = np.abs(x).max(axis=1, keepdims=True) if len(x) else np.ones((0, 1))
-    y = x / np.where(top > 0, top, 1)
-    return x, y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
+    # The squares of very small or large components would underflow or overflow.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))[1])
+    return x, x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding as doubles): without null ids, null, empty or zero vectors, null or non-finite
+    """(vec_id, embedding as floats or doubles): without null ids, null, empty or zero vectors, null or non-finite
     components. Rows alike count once."""
-    x = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    x = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     infinite = [float("inf"), float("-inf")]
     bad = F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | v.isin(infinite))
     x = x.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").filter(~F.coalesce(bad, F.lit(True)))
-    return x.filter(F.exists("embedding", lambda v: v != 0)).distinct()
+    return x.filter(F.exists("embedding", lambda v: v != 0))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest of ``vectors`` found for each of ``queries`` (both vec_id,
-    embedding), never a row with the query's own id. Equal scores go to the smaller id. Vectors that
-    aren't ``usable`` take no part, nor do those whose length differs from the most frequent one. Empty tables give an
-    empty result."""
+    embedding), never the query's own row. Equal scores go to the smaller id. Rows alike in id and vector count once;
+    rows that share an id only are rows of their own. Vectors that aren't ``usable`` take no part, nor do those whose
+    length differs from the most frequent one. Empty tables give an empty result.
+
+    Equal vectors are compared once: of each, the ``k`` + 1 smallest ids are filed, as no query can need another,
+    and equal queries are asked once.
+    """
     spark = vectors.sparkSession
     vectors = usable(vectors)
     sizes = vectors.groupBy(F.size("embedding").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
     if not sizes:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size, total = sizes[0]["size"], sizes[0]["count"]
     vectors = vectors.filter(F.size("embedding") == size)
-    queries = usable(queries).filter(F.size("embedding") == size)
+    queries = usable(queries).filter(F.size("embedding") == size).distinct()
     most = max(100, min(SAMPLE, (64 << 20) // (8 * size)))
     draw = F.pmod(F.xxhash64(F.lit("ann"), "vec_id"), F.lit(1 << 40)) / float(1 << 40)
     sample = vectors.withColumn("d", draw).filter(F.col("d") < min(1.0, 1.1 * most / total)).orderBy("d", "vec_id").limit(most)
@@ -168,50 +175,61 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
             leaves = [sent.value.nearest_leaves(u) for u in _unit(b["embedding"], size)[1]]
             yield b.assign(leaf=leaves).explode("leaf").astype({"leaf": "int64"}).reset_index(drop=True)
 
-    schema_in = "vec_id long, embedding array<double>, leaf long"
-    members = materialise(vectors.mapInPandas(filed, schema_in), "filed")
-    asked = materialise(queries.mapInPandas(probes, schema_in), "asked")
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    # Spark keeps the first rows of each group before the shuffle, so a frequent vector sends few.
+    equal = Window.partitionBy("embedding").orderBy("vec_id")
+    first = vectors.distinct().withColumn("n", F.row_number().over(equal)).filter(F.col("n") <= k + 1).drop("n")
+    members = materialise(first.mapInPandas(filed, f"vec_id long, embedding {kind}, leaf long"), "filed")
+    asks = queries.groupBy("embedding").agg(F.count(F.lit(1))).select(F.monotonically_increasing_id().alias("ask"), "embedding")
+    asks = materialise(asks, "asks")
+    asked = materialise(asks.mapInPandas(probes, f"ask long, embedding {kind}, leaf long"), "asked")
     # One row per leaf and side; the tree's size bounds them.
     split = members.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("rows"))
     split = split.join(asked.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("asks")), "leaf")
     split = F.broadcast(split)
     grid = ("leaf", "m", "a")
 
-    def part(df, own, other, c_own, c_other):
-        mine = F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int").alias(c_own)
+    def part(df, key, own, other, c_own, c_other):
+        mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int").alias(c_own)
         spread = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(c_other)
-        return df.join(split, "leaf").select("vec_id", "embedding", "leaf", mine, spread)
+        return df.join(split, "leaf").select(key, "embedding", "leaf", mine, spread)
 
-    left = part(members, "rows", "asks", "m", "a").groupBy(*grid)
-    right = part(asked, "asks", "rows", "a", "m").groupBy(*grid)
+    left = part(members, "vec_id", "rows", "asks", "m", "a").groupBy(*grid)
+    right = part(asked, "ask", "asks", "rows", "a", "m").groupBy(*grid)
 
     def compare(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or asks.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"ask": [], "vec_id": [], "score": [], "same": []})
         rows = rows.sort_values("vec_id")
         x, unit = _unit(rows["embedding"], size)
         ids = rows["vec_id"].to_numpy()
         norm = np.sqrt((x * x).sum(axis=1))
         found = []
         q, q_unit = _unit(asks["embedding"], size)
-        q_ids, q_norm = asks["vec_id"].to_numpy(), np.sqrt((q * q).sum(axis=1))
+        q_ids, q_norm = asks["ask"].to_numpy(), np.sqrt((q * q).sum(axis=1))
+        original, q_original = (np.stack(list(d["embedding"])) for d in (rows, asks))
+        least = max(0, len(rows) - k - 1)
         for start in range(0, len(q), 128):
             near = q_unit[start : start + 128] @ unit.T
             for i, scores in enumerate(near, start):
-                scores[ids == q_ids[i]] = -np.inf
-                edge = np.partition(scores, max(0, len(scores) - k))[max(0, len(scores) - k)] - 1e-9
-                at = np.flatnonzero((scores >= edge) & (scores > -np.inf))
+                at = np.flatnonzero(scores >= np.partition(scores, least)[least] - 1e-9)
                 # Summed row by row in one order, so that equal vectors get equal scores.
                 exact = (x[at] * q[i]).sum(axis=1) / (norm[at] * q_norm[i])
-                best = np.lexsort((ids[at], -exact))[:k]
-                found.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": ids[at][best], "score": exact[best]}))
+                best = np.lexsort((ids[at], -exact))[: k + 1]
+                same = (original[at][best] == q_original[i]).all(axis=1)
+                found.append(pd.DataFrame({"ask": q_ids[i], "vec_id": ids[at][best], "score": exact[best], "same": same}))
         return pd.concat(found, ignore_index=True)
 
-    pairs = left.cogroup(right).applyInPandas(compare, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
-    )
+    pairs = left.cogroup(right).applyInPandas(compare, "ask long, vec_id long, score double, same boolean")
+    best = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
+    near = pairs.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1)
+    near = near.groupBy("ask").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score", "same"))).alias("near"))
+    # Back to all queries; a frequent one is spread over ``SALTS`` parts.
+    near = near.join(asks, "ask").select("embedding", "near", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = queries.select(F.col("vec_id").alias("query_id"), "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    others = F.filter("near", lambda n: ~(n["same"] & (n["vec_id"] == F.col("query_id"))))
+    ranked = salted.join(near, ["embedding", "salt"]).select("query_id", F.posexplode(F.slice(others, 1, k)).alias("at", "n"))
+    return ranked.select("query_id", (F.col("at") + 1).alias("rank"), "n.vec_id", "n.score")
 
 
 def op9_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
