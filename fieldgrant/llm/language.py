@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 #: frequent ones are not learned.
 TRAIN_DOCUMENTS = 250
 LANDMARKS = 40
+#: Most training documents of all languages, which share them evenly.
+TRAIN_TOTAL = 2_000
 MAX_LANGUAGES = 200
 #: Columns per n-gram length; n-grams are hashed to them.
 _BITS = 13
@@ -105,9 +107,11 @@ def _remainder(doc_id):
 
 def train(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS) -> Classifier | None:
     """Learn from documents with a language, a text and an id whose crc32 isn't divisible by 5; at most
-    ``per_language`` of each language. None if there are none."""
+    ``per_language`` of each language and about ``TRAIN_TOTAL`` of all. None if there are none."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (_remainder(F.col("doc_id")) != 0))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    per_language = min(per_language, max(1, TRAIN_TOTAL // max(1, len(counts))))
+    counts = docs.sparkSession.createDataFrame(counts, "lang string, count long")
     # Thin out by hash first, so that what a window sorts is bounded however frequent a language is.
     draw = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
     thin = known.select("doc_id", "lang", "text").join(F.broadcast(counts), "lang").withColumn("draw", draw)
