@@ -27,6 +27,8 @@ BLOCKS = 1024
 #: Most sources; a row for each is held by the driver and sent to every task.
 MAX_SOURCES = 50_000
 SHARDS = 16
+#: Words of a shard that one task shuffles; larger shards are dealt to several tasks first.
+PART_WORDS = 50_000_000
 
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -70,10 +72,11 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int = 0) -> np.ndarray:
 
 @dataclass
 class Plan:
-    """``sources``: one row per source, small enough to send out; ``shards``: how many."""
+    """``sources``: one row per source, small enough to send out; ``shards``: how many, each of ``parts`` parts."""
 
     sources: DataFrame
     shards: int
+    parts: int
 
 
 def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
@@ -129,7 +132,7 @@ def plan_mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> Plan:
         for i, r in enumerate(rows)
     ]
     schema = "_source string, source_size long, target double, passes int, cut int, last long, ends array<long>"
-    return Plan(spark.createDataFrame(full, schema), shards)
+    return Plan(spark.createDataFrame(full, schema), shards, 1 + int(sum(wanted) / (shards * PART_WORDS)))
 
 
 def with_copies(docs: DataFrame, plan: Plan) -> DataFrame:
@@ -153,14 +156,15 @@ def assignments(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFra
 
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     """The mix itself: ``docs`` with every document as often as it is taken, dealt to shards and
-    shuffled within each. Columns are those of ``docs``."""
+    shuffled within each; parts of a large shard are random, too. Columns are those of ``docs``."""
     plan = plan_mix(materialise(_keyed(docs), "sizes"), shards, seed)
     drawn = with_copies(_keyed(docs, F.struct("*").alias("_row")), plan).filter("_copies > 0")
     drawn = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     index = (F.col("_copy") - 1) * BLOCKS + F.col("_pos")
     drawn = drawn.withColumn("_shard", F.size(F.filter("ends", lambda e: e <= index)))
     order = F.xxhash64(F.lit(seed), "_h", "_copy")
-    return drawn.repartition("_shard").sortWithinPartitions("_shard", order).select("_row.*")
+    drawn = drawn.withColumn("_order", order).withColumn("_part", F.pmod("_order", F.lit(plan.parts)))
+    return drawn.repartition("_shard", "_part").sortWithinPartitions("_shard", "_part", "_order").select("_row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
