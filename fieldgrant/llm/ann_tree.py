@@ -172,8 +172,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            leaves = [sent.value.nearest_leaves(u) for u in _unit(b["embedding"], size)[1]]
-            yield b.assign(leaf=leaves).explode("leaf").astype({"leaf": "int64"}).reset_index(drop=True)
+            yield b.assign(leaves=[sent.value.nearest_leaves(u) for u in _unit(b["embedding"], size)[1]])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
     # Spark keeps the first rows of each group before the shuffle, so a frequent vector sends few.
@@ -182,7 +181,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     members = materialise(first.mapInPandas(filed, f"vec_id long, embedding {kind}, leaf long"), "filed")
     asks = queries.groupBy("embedding").agg(F.count(F.lit(1))).select(F.monotonically_increasing_id().alias("ask"), "embedding")
     asks = materialise(asks, "asks")
-    asked = materialise(asks.mapInPandas(probes, f"ask long, embedding {kind}, leaf long"), "asked")
+    asked = materialise(asks.mapInPandas(probes, f"ask long, embedding {kind}, leaves array<long>"), "asked")
+    asked = asked.select("ask", "embedding", F.explode("leaves").alias("leaf"))
     # One row per leaf and side; the tree's size bounds them.
     split = members.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("rows"))
     split = split.join(asked.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("asks")), "leaf")
