@@ -22,7 +22,7 @@ from ..sources.scratch import materialise
 SAMPLE = 16_000
 QUERIES = 400
 BRANCHES = 12
-LEAF = 64
+LEAF = 256
 #: Recall to reach on the sample.
 RECALL = 0.98
 #: Vectors, and queries, of a leaf that one task compares; larger leaves are split.
