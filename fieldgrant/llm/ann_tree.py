@@ -217,8 +217,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                 exact = (x[at] * q[i]).sum(axis=1) / (norm[at] * q_norm[i])
                 best = np.lexsort((ids[at], -exact))[: k + 1]
                 same = (original[at][best] == q_original[i]).all(axis=1)
-                found.append(pd.DataFrame({"ask": q_ids[i], "vec_id": ids[at][best], "score": exact[best], "same": same}))
-        return pd.concat(found, ignore_index=True)
+                found.append((np.repeat(q_ids[i], len(best)), ids[at][best], exact[best], same))
+        return pd.DataFrame(dict(zip(("ask", "vec_id", "score", "same"), map(np.concatenate, zip(*found)))))
 
     pairs = left.cogroup(right).applyInPandas(compare, "ask long, vec_id long, score double, same boolean")
     best = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
