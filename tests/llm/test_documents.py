@@ -408,3 +408,16 @@ def test_pipeline_stages_on_odd_rows(spark, odd, nothing, alike, tmp_path):
                 assert out.columns == docs.columns
                 docs = out
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "mix", "tokens"]
+
+
+def test_line_fingerprints_of_short_and_long_lines(spark):
+    """Majority of the bits of the different words' hashes, also beyond the words that are counted together."""
+    sizes = [1, 2, 3, 126, 127, 128, 254, 255, 400, 1000]
+    texts = ["\n".join(" ".join(f"w{n}x{i}" for i in range(n)) + " w" for n in sizes)] * 3
+    rows = line_dedup.occurrences(spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string")).collect()
+    assert len(rows) == 3 * len(sizes)
+    lines = texts[0].split("\n")
+    for r in rows:
+        hashes = [xxhash.xxh64_intdigest(w, 42) for w in set(lines[r["line"]].split())]
+        expected = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert r["code"] & (2**64 - 1) == expected
