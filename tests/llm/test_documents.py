@@ -160,6 +160,53 @@ def test_line_dedup_against_brute_force(spark, odd, odd_rows, nothing):
     assert line_dedup.dedup_lines(odd).columns == odd.columns
 
 
+@pytest.mark.parametrize("hot", [line_dedup.HOT, 1])
+def test_line_dedup_by_edit_similarity_alone(spark, odd_rows, monkeypatch, hot):
+    """Every two lines are compared; no pair may be missed, however far apart their fingerprints are."""
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("abcdeinorst"), rng.integers(1, 9))) for _ in range(400)]
+    lines = [line for r in odd_rows if r[1] is not None and len(r[1]) < 5_000 for line in r[1].split("\n")]
+    for n in (1, 3, 4, 5, 6, 8, 12, 20, 40, 60, 100):
+        for share in (0.05, 0.1, 0.15, 0.2, 0.25):
+            old = list(rng.choice(vocabulary, n))
+            new = list(old)
+            for _ in range(max(1, round(share * n))):
+                at, word = int(rng.integers(len(new) + 1)), str(rng.choice(vocabulary))
+                kind = int(rng.integers(3))
+                new = new[:at] + [word] * (kind < 2) + new[at + (kind > 0) :]
+            lines += [" ".join(old), " ".join(new)]
+    lines += ["a a a a a a a a a b", "a a a a a a a a a c", "b a a a a a a a a", "x y x y x y x y x y", "x y x y x y x y x z"]
+    lines = [line for line in lines if len(line) < 5_000]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs, distance=None).collect()}
+    normal = [re.sub(r"[\W_]+", " ", x.lower()).strip() for x in lines]
+    words_of = [x.split(" ") for x in normal]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    pairs = []
+    for i, j in combinations([i for i, x in enumerate(normal) if x], 2):
+        a, b = words_of[i], words_of[j]
+        most = 0.2 * max(len(a), len(b)) + 1e-9
+        # Cheap exact bounds first.
+        if abs(len(a) - len(b)) <= most and max(len(a), len(b)) - (Counter(a) & Counter(b)).total() <= most and edits(a, b) <= most:
+            pairs.append((i, j))
+    root = components(len(lines), pairs)
+    first = {}
+    for i, r in enumerate(root):
+        first[r] = min(first.get(r, i), i)
+    want = {i: [0] for i, r in enumerate(root) if normal[i] and first[r] != i}
+    assert len(want) > 40
+    assert found == want
+
+
 def test_line_dedup_plan_has_no_python(spark, odd):
     plan = line_dedup.occurrences(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
