@@ -14,7 +14,7 @@ the order with a common prefix of ``LENGTH`` are repeats.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,9 +30,10 @@ LENGTH = 400
 GRAM = 128
 #: Bytes that are searched for anchors, or suffix-sorted, at once.
 _SCAN, _SORT = 1 << 19, 1 << 20
-#: Runs that one anchor may have in one sorting task; beyond it they are cut finer (see ``_finer``).
+#: Different runs that one anchor, or pieces that one part, may have in one sorting task; beyond it they are cut finer (see
+#: ``_finer``) in turn into pieces of so many starts. Single starts need no sorting, only counting.
 HOT = 2_000
-_STEP = 48
+_STEPS = (48, 8, 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -303,44 +304,96 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     forms = _stored(forms, "forms")
     copies = mixed.join(forms.filter("k > 1").select("h", "same"), ["h", "same"], "left_semi").select("tid", "p", "n")
     sizes = forms.groupBy("h").agg(F.count(F.lit(1)).alias("forms"))
-    wanted = forms.select("h", "k", "one.*").join(sizes, "h")
-    pieces = wanted.join(_texts(docs), "tid").mapInPandas(
-        _cut, "part long, tid binary, p long, n int, alone boolean, data binary"
-    )
+    wanted = _stored(forms.select("h", "one.*", (F.col("k") == 1).alias("alone"), "k").join(sizes, "h"), "wanted")
+    pieces, known = _parts(docs, wanted)
+    pieces = pieces.join(_texts(docs), "tid").mapInPandas(_bytes, "part long, tid binary, p long, n int, alone boolean, data binary")
     found = pieces.repartition("part").sortWithinPartitions("part").mapInPandas(_sorted, "tid binary, s long, e long")
-    whole = plain.union(copies).select("tid", F.col("p").alias("s"), (F.col("p") + F.col("n")).alias("e"))
+    whole = plain.union(copies).union(known).select("tid", F.col("p").alias("s"), (F.col("p") + F.col("n")).alias("e"))
     return whole.union(found).distinct()
 
 
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of each run, under the number of the part that it is sorted in."""
+def _parts(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(part, tid, p, n, alone): what is sorted together, at most HOT pieces a part; and (tid, p, n): pieces known to be repeated.
+
+    The runs of a frequent anchor are cut by ``_finer``. Pieces alike in every byte are counted before they meet: all are repeated, and one
+    of each goes on. Parts that still have many different pieces are cut again, in the end to single starts.
+    """
+    sorting = ["part", "tid", "p", "n", "alone"]
+    own = ["h", "tid", "p", "n", "off", "alone"]
+    pieces = wanted.filter(F.col("forms") <= HOT).select(F.col("h").alias("part"), *sorting[1:])
+    todo = wanted.filter(F.col("forms") > HOT).select(*own)
+    known = wanted.filter("false").select("tid", "p", "n")
+    for step in _STEPS:
+        if todo.isEmpty():
+            break
+        cut = todo.join(_texts(docs), "tid").mapInPandas(
+            _cut(step), "part long, digest binary, h long, tid binary, p long, n int, off int, alone boolean"
+        )
+        cut = _stored(cut, "cut")
+        groups = cut.groupBy("part", "digest").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("tid", "p", "n", "off", "h", "alone")).alias("one"))
+        groups = _stored(groups, "groups")
+        again = groups.filter("k > 1").select("part", "digest")
+        known = known.union(cut.filter("alone").join(again, ["part", "digest"], "left_semi").select("tid", "p", "n"))
+        sizes = groups.groupBy("part").agg(F.count(F.lit(1)).alias("forms")).filter("forms > 1")
+        rest = groups.select("part", "one.*", "k").withColumn("alone", F.col("alone") & (F.col("k") == 1)).join(sizes, "part")
+        if step > 1:
+            rest = _stored(rest, "rest")
+            pieces = pieces.union(rest.filter(F.col("forms") <= HOT).select(*sorting))
+            todo = rest.filter(F.col("forms") > HOT).select(*own)
+    return pieces, known
+
+
+def _cut(step: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Pieces of ``step`` starts of each run, with their part and a digest of their bytes."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdDecompressor()
+        columns = ["part", "digest", "h", "tid", "p", "n", "off", "alone"]
+        last, text = None, b""
+        for b in batches:
+            rows = []
+            for tid, h, p, n, off, alone, packed in zip(*(b[c] for c in ("tid", "h", "p", "n", "off", "alone", "packed"))):
+                if last != tid:
+                    last, text = tid, press.decompress(packed)
+                for part, a, z in _finer(text, h, p, n, off, step):
+                    digest = xxhash.xxh3_128_digest(text[a : z + LENGTH - 1])
+                    rows.append((part, digest, h, tid, a, z - a, p + off - a, alone))
+                if len(rows) >= 2000:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
+
+    return cut
+
+
+def _bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of each piece."""
     press = zstandard.ZstdDecompressor()
+    columns = ["part", "tid", "p", "n", "alone", "data"]
     last, text = None, b""
     for b in batches:
         rows = []
-        for tid, h, k, p, n, off, forms, packed in zip(*(b[c] for c in ("tid", "h", "k", "p", "n", "off", "forms", "packed"))):
+        for part, tid, p, n, alone, packed in zip(*(b[c] for c in ("part", "tid", "p", "n", "alone", "packed"))):
             if last != tid:
                 last, text = tid, press.decompress(packed)
-            if forms <= HOT:
-                rows.append((h, tid, p, n, k == 1, text[p : p + n + LENGTH - 1]))
-            else:
-                rows += [(part, tid, a, z - a, k == 1, text[a : z + LENGTH - 1]) for part, a, z in _finer(text, h, p, n, off)]
+            rows.append((part, tid, p, n, alone, text[p : p + n + LENGTH - 1]))
             if len(rows) >= 2000:
-                yield pd.DataFrame(rows, columns=["part", "tid", "p", "n", "alone", "data"])
+                yield pd.DataFrame(rows, columns=columns)
                 rows = []
         if rows:
-            yield pd.DataFrame(rows, columns=["part", "tid", "p", "n", "alone", "data"])
+            yield pd.DataFrame(rows, columns=columns)
 
 
-def _finer(text: bytes, h: int, p: int, n: int, off: int) -> list[tuple[int, int, int]]:
-    """Cut a run of a frequent anchor by distance to the anchor into pieces of up to ``_STEP`` starts. All strings of a
-    piece share at least LENGTH - _STEP + 1 bytes, and only pieces with those bytes alike need to meet."""
+def _finer(text: bytes, h: int, p: int, n: int, off: int, most: int) -> list[tuple[int, int, int]]:
+    """Cut a run of a frequent anchor by distance to the anchor into pieces of up to ``most`` starts. All strings of a
+    piece share at least LENGTH - most + 1 bytes, and only pieces with those bytes alike need to meet."""
     out, anchor = [], p + off
     at = p
     while at < p + n:
-        step = (anchor - at) // _STEP  # the same for all starts down to distance step * _STEP
-        end = min(p + n, anchor - step * _STEP + 1)
-        low, high = anchor - step * _STEP, anchor - step * _STEP - _STEP + 1 + LENGTH
+        step = (anchor - at) // most  # the same for all starts down to distance step * most
+        end = min(p + n, anchor - step * most + 1)
+        low, high = anchor - step * most, anchor - step * most - most + 1 + LENGTH
         key = xxhash.xxh3_64(text[low:high])
         key.update(h.to_bytes(8, "little", signed=True) + step.to_bytes(4, "little"))
         out.append((int(np.uint64(key.intdigest()).astype(np.int64)), at, end))

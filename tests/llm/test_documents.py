@@ -253,6 +253,33 @@ def test_repeats_against_brute_force(odd, odd_rows, nothing, monkeypatch, hot):
 # Mixing ------------------------------------------------------------------------------------------
 
 
+def test_repeats_of_a_frequent_passage_meet_in_small_parts(spark, monkeypatch):
+    """Passages that many documents share, each with other text around: equal pieces are merged, and different ones cut finer."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 4)
+    rng = np.random.default_rng(9)
+
+    def other(n):
+        return "".join(rng.choice(list("abcdefgh"), n))
+
+    long, short = other(700), other(380)
+    texts = [other(300) + long + other(300) for _ in range(30)] + [other(500) + short + other(500) for _ in range(30)]
+    texts += [other(200) + short + "z" * 20 + other(200) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    parts = suffix_dedup._parts
+
+    def watched(*args):
+        seen.append(parts(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(suffix_dedup, "_parts", watched)
+    found = suffix_dedup.remove_repeats(docs)
+    want = [(i, *w) for i, w in enumerate(brute_repeats([t.encode() for t in texts]))]
+    assert rows_of(found, "*") == sorted(want, key=repr)
+    sizes = [r["count"] for r in seen[0][0].groupBy("part").count().collect()]
+    assert max(sizes, default=0) <= 4 and seen[0][1].count() >= 30
+
+
 def test_targets():
     assert mixing.targets([], []) == []
     assert mixing.targets([0, 0], [3, 1]) == [0, 0]
