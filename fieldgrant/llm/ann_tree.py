@@ -2,7 +2,8 @@
 
 The tree is fitted on a bounded sample and sent to every task; every vector is filed in a leaf. A query
 walks the tree through a priority queue, nearest centre first, to as many leaves as a sample of
-queries needed for the recall wanted, and is compared exactly with all vectors filed there.
+queries needed for the recall wanted, and on while these hold too few vectors, and is compared exactly with all
+vectors filed there.
 """
 
 from __future__ import annotations
@@ -66,8 +67,15 @@ class Tree:
             for far, kid in zip(-(self.centres[kids] @ q), kids):
                 heapq.heappush(queue, (float(far), kid))
 
-    def nearest_leaves(self, q: np.ndarray) -> list[int]:
-        return [leaf for leaf, _ in zip(self.leaves(q), range(self.visits))]
+    def nearest_leaves(self, q: np.ndarray, sizes: np.ndarray, least: int) -> list[int]:
+        """``visits`` leaves, and more until they hold ``least`` vectors; ``sizes``: how many each leaf holds."""
+        out, held = [], 0
+        for leaf in self.leaves(q):
+            if len(out) >= self.visits and held >= least:
+                break
+            out.append(leaf)
+            held += sizes[leaf]
+        return out
 
 
 def _k_means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -101,7 +109,8 @@ def fit(unit: np.ndarray, seed: int = 0) -> Tree:
             tree.children[node].append(len(centres) - 1)
             todo.append((len(centres) - 1, rows[pick == k]))
     tree.centres = np.stack(centres)
-    tree.visits = _calibrated(tree, unit, n_leaves, rng)
+    # Copies would need no visits: equal vectors are filed as few.
+    tree.visits = _calibrated(tree, np.unique(unit, axis=0), n_leaves, rng)
     return tree
 
 
@@ -172,13 +181,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(leaves=[sent.value.nearest_leaves(u) for u in _unit(b["embedding"], size)[1]])
+            yield b.assign(leaves=[sent.value.nearest_leaves(u, held.value, k + 1) for u in _unit(b["embedding"], size)[1]])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
     # Spark keeps the first rows of each group before the shuffle, so a frequent vector sends few.
     equal = Window.partitionBy("embedding").orderBy("vec_id")
     first = vectors.distinct().withColumn("n", F.row_number().over(equal)).filter(F.col("n") <= k + 1).drop("n")
     members = materialise(first.mapInPandas(filed, f"vec_id long, embedding {kind}, leaf long"), "filed")
+    # One number per leaf; the tree's size bounds them.
+    sizes = np.zeros(max(sent.value.leaf) + 1, np.int64)
+    for r in members.groupBy("leaf").count().collect():
+        sizes[r["leaf"]] = r["count"]
+    held = spark.sparkContext.broadcast(sizes)
     asks = queries.groupBy("embedding").agg(F.count(F.lit(1))).select(F.monotonically_increasing_id().alias("ask"), "embedding")
     asks = materialise(asks, "asks")
     asked = materialise(asks.mapInPandas(probes, f"ask long, embedding {kind}, leaves array<long>"), "asked")

@@ -95,3 +95,22 @@ def test_nearest(spark, monkeypatch):
     assert {q: len(v) for q, v in neighbours(few, few).items()} == {0: 2, 1: 2, 2: 2}
     one = spark.createDataFrame(rows[:1], "vec_id long, embedding array<double>")
     assert ann_tree.search(one, one).count() == 0
+
+
+def test_small_leaves_still_give_all_neighbours(spark, monkeypatch):
+    """Queries whose nearest leaves hold few vectors go on to further leaves."""
+    monkeypatch.setattr(ann_tree, "LEAF", 8)
+    monkeypatch.setattr(ann_tree, "_calibrated", lambda *_: 1)
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(4, 8))[rng.integers(0, 4, 200)] + 0.01 * rng.normal(size=(200, 8)), 5 * rng.normal(size=(40, 8))])
+    vectors = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = neighbours(vectors, vectors)
+    assert set(found) == set(range(240)) and {len(v) for v in found.values()} == {5}
+
+
+def test_calibration_on_distinct_vectors(monkeypatch):
+    seen = []
+    monkeypatch.setattr(ann_tree, "_calibrated", lambda tree, unit, *_: seen.append(len(unit)) or 1)
+    x = np.random.default_rng(4).normal(size=(50, 6))
+    ann_tree.fit(np.concatenate([x, np.repeat(x[:1], 500, axis=0)]))
+    assert seen == [50]
