@@ -15,16 +15,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Training documents and landmarks per language, chosen by a hash of the id; languages beyond the most
-#: frequent ones are not learned.
+#: Training documents and landmarks per language, chosen by a hash of the id.
 TRAIN_DOCUMENTS = 250
 LANDMARKS = 40
-#: Most training documents of all languages, which share them evenly.
+#: Most training documents of all languages, which share them evenly; more languages than that are an error.
 TRAIN_TOTAL = 2_000
-MAX_LANGUAGES = 200
 #: Columns per n-gram length; n-grams are hashed to them.
 _BITS = 13
 _WIDTH = 1 << _BITS
@@ -107,9 +105,12 @@ def _remainder(doc_id):
 
 def train(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS) -> Classifier | None:
     """Learn from documents with a language, a text and an id whose crc32 isn't divisible by 5; at most
-    ``per_language`` of each language and about ``TRAIN_TOTAL`` of all. None if there are none."""
+    ``per_language`` of each language and ``TRAIN_TOTAL`` of all. Every language is learned; more than ``TRAIN_TOTAL`` of
+    them are an error. None if there are none."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (_remainder(F.col("doc_id")) != 0))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = known.groupBy("lang").count().limit(TRAIN_TOTAL + 1).collect()
+    if len(counts) > TRAIN_TOTAL:
+        raise ValueError(f"documents in more than {TRAIN_TOTAL} languages")
     per_language = min(per_language, max(1, TRAIN_TOTAL // max(1, len(counts))))
     counts = docs.sparkSession.createDataFrame(counts, "lang string, count long")
     # Thin out by hash first, so that what a window sorts is bounded however frequent a language is.
@@ -117,6 +118,8 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS) -> Classifier |
     thin = known.select("doc_id", "lang", "text").join(F.broadcast(counts), "lang").withColumn("draw", draw)
     thin = thin.filter(F.col("draw") * F.col("count") < 2 * per_language + 50)
     thin = thin.groupBy("doc_id", "lang", "draw").agg(F.min("text").alias("text"))
+    # Only what is learned from goes to the driver.
+    thin = thin.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))).filter(F.col("n") <= per_language)
 
     def rows(batches):
         for whole in batches:

@@ -467,6 +467,18 @@ def test_language(spark, odd, nothing):
     assert {r["lang_pred"] for r in language.identify(odd, None).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    docs = [(i, f"{chr(0x4E00 + i % 230) * 4} {chr(0x6000 + i % 230) * 3}", f"l{i % 230}") for i in range(230 * 12)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    known = {lang for i, _, lang in docs if zlib.crc32(str(i).encode()) % 5}
+    model = language.train(df)
+    assert len(known) == 230 and set(model.languages) == known
+    assert all(r["lang_pred"] == r["lang"] for r in language.identify(df.limit(230), model).collect())
+    monkeypatch.setattr(language, "TRAIN_TOTAL", 229)
+    with pytest.raises(ValueError):
+        language.train(df)
+
+
 # All stages --------------------------------------------------------------------------------------
 
 
