@@ -496,6 +496,106 @@ def test_pipeline_stages_on_odd_rows(spark, odd, nothing, alike, tmp_path):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "mix", "tokens"]
 
 
+def plain_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def plain_lines(docs):
+    """Of every group of lines alike or similar, only the first stays; docs are (doc_id, text, source) in order of their ids."""
+    found = [(i, n, line) for i, (_, text, _) in enumerate(docs) for n, line in enumerate(text.split("\n"))]
+    words_of = [re.sub(r"[\W_]+", " ", line.lower()).split() for *_, line in found]
+    pairs = []
+    for a, b in combinations([k for k, w in enumerate(words_of) if w], 2):
+        x, y = words_of[a], words_of[b]
+        most = 0.2 * max(len(x), len(y)) + 1e-9
+        if abs(len(x) - len(y)) <= most and plain_edits(x, y) <= most:
+            pairs.append((a, b))
+    gone = {found[k][:2] for k, root in enumerate(components(len(found), pairs)) if root != k}
+    return [(i, "\n".join(x for n, x in enumerate(t.split("\n")) if (k, n) not in gone), s) for k, (i, t, s) in enumerate(docs)]
+
+
+def plain_copies(docs):
+    """How often the mix takes each document."""
+
+    def chain(*values):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v.to_bytes(8, "little", signed=True), h)
+        return h - (1 << 64) if h >> 63 else h
+
+    names = sorted({s for *_, s in docs})
+    size = {d: len(WORD.findall(d[1])) for d in docs}
+    total = [sum(size[d] for d in docs if d[2] == s) for s in names]
+    copies = {}
+    for s, t, wanted in zip(names, total, mixing.targets(total, [mixing.WEIGHTS[i % 3] for i in range(len(names))])):
+        passes, salt = int(wanted // t), chain("blocks", s)
+        step, shift = 2 * (salt % 512) + 1, (salt >> 20) % 1024
+        placed = {}
+        for d in docs:
+            if d[2] == s:
+                h = chain("mix", d[0], d[1])
+                placed.setdefault((((h % (1 << 64)) >> 40) % 1024 * step + shift) % 1024, []).append((h, d))
+        rest, open_ = wanted - passes * t, True
+        for place in sorted(placed):
+            words = sum(size[d] for _, d in placed[place])
+            upto = 0
+            for _, d in sorted(placed[place]):
+                upto += size[d]
+                copies[d] = passes + (open_ and (words <= rest or upto - size[d] / 2 <= rest))
+            open_ = open_ and words <= rest
+            rest -= words
+    return copies
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    """Rows, texts, copies and ids of a whole run. No labels: every line then counts as content."""
+    import tiktoken
+
+    rng = np.random.default_rng(11)
+
+    def prose(n):
+        return " ".join("".join(rng.choice(list("abcdeinorst"), rng.integers(2, 8))) for _ in range(n))
+
+    docs = []
+    for i in range(24):
+        notice = f"this page was last changed on day {i} by one of its many readers and editors"
+        docs.append((i, f"{prose(40)}\n{prose(30)}.\n{notice}\n***", f"s{i % 3}"))
+    for i in range(24, 36):
+        words = docs[i - 24][1].split(" ")
+        words[3 * i % 40] = "changed"
+        docs.append((i, " ".join(words), f"s{i % 3}"))  # its lines are similar to others
+    text = prose(400).split(" ")
+    docs += [(36, "\n".join(" ".join(text[k : k + 50]) for k in range(0, 400, 50)), "s0")]
+    docs += [(37, "\n".join(" ".join(text[:20] + text[20:][k : k + 37]) for k in range(0, 380, 37)), "s1")]  # other lines, alike as a whole
+    docs += [(38, "too short", "s1"), (39, "again and again " * 30, "s2"), (40, docs[5][1], "s2")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    clean = [d for d in docs if not brute_counts(d[1])[-1]]
+    assert 2 <= len(docs) - len(clean) <= 5
+    lined = plain_lines(clean)
+    assert lined != clean
+    codes = [brute_code(t) for _, t, _ in lined]
+    near = [(a, b) for a, b in combinations(range(len(lined)), 2) if (codes[a] ^ codes[b]).bit_count() <= simhash.DISTANCE]
+    kept = [d for k, d in enumerate(lined) if components(len(lined), near)[k] == k]
+    assert len(kept) < len(lined)
+    copies = plain_copies(kept)
+    assert len(set(copies.values())) > 1
+    ranks, pattern = byte_bpe.public_ranks()
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(ranks), special_tokens={})
+    want = []
+    for d, n in copies.items():
+        ids = library.encode_ordinary(d[1])
+        want += [(d[0], len(ids), ids, d[1])] * n
+    assert sorted(tuple(r) for r in found) == sorted(want)
+
+
 def test_line_fingerprints_of_short_and_long_lines(spark):
     """Majority of the bits of the different words' hashes, also beyond the words that are counted together."""
     sizes = [1, 2, 3, 126, 127, 128, 254, 255, 400, 1000]
