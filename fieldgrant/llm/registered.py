@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import ann_tree, byte_bpe, language, line_dedup, mixing, quality_crf, simhash, suffix_dedup, token_files, url_cascade
+from . import (
+    ann_tree, byte_bpe, hard_negatives, language, lexical, line_dedup, mixing, quality_crf, rotation_codes, simhash, suffix_dedup, token_files, url_cascade,
+)
 
 QUERIES = {
     "op1_url_cascade": url_cascade.op1_url_cascade,
@@ -15,6 +17,14 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_ann_tree": ann_tree.op9_ann_tree,
     "op10_language": language.op10_language,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_lexical": lexical.op12_lexical,
+    "op13_rotation_codes": rotation_codes.op13_rotation_codes,
 }
 
-ORACLES = {"op1_url_cascade": url_cascade.OP1_SQL}
+ORACLES = {
+    "op1_url_cascade": url_cascade.OP1_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
+    "op12_lexical": lexical.OP12_SQL,
+    "op13_rotation_codes": rotation_codes.OP13_SQL,
+}
