@@ -19,6 +19,8 @@ from ..sources.scratch import materialise
 
 #: Coordinates of an anchor whose ranges are intersected.
 FOCUS = 5
+#: Share of a block from which the narrowest range isn't worth the others.
+NARROW = 0.8
 #: Lengths in a bucket differ at most by this factor.
 RATIO = 1.1
 #: Numbers in a block of rows (so many rows times components), rows at most, and anchors that meet it at once.
@@ -79,14 +81,14 @@ class Block:
         ends = [(np.searchsorted(self.sorted[:, f], a), np.searchsorted(self.sorted[:, f], b, "right")) for f, a, b in zip(focus, low, high)]
         narrow = min(range(len(focus)), key=lambda i: ends[i][1] - ends[i][0])
         start, end = ends[narrow]
-        if 2 * (end - start) > len(self.x):
+        if end - start > NARROW * len(self.x):
             return None  # little to win: the whole block is multiplied at once
         found = self.order[start:end, focus[narrow]]
         for i, f in enumerate(focus):
             if i != narrow:
                 value = self.share[found, f]
                 found = found[(value >= low[i]) & (value <= high[i])]
-        return found
+        return None if 2 * len(found) > len(self.x) else found
 
 
 def _found(score: np.ndarray, ids: np.ndarray, windows, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:

@@ -113,7 +113,7 @@ def _candidates(b: pd.DataFrame, threshold: float) -> Iterator[tuple[np.ndarray,
     start = np.flatnonzero(np.r_[True, (b[["bucket", "i", "j"]].to_numpy()[1:] != b[["bucket", "i", "j"]].to_numpy()[:-1]).any(axis=1)])
     size = np.diff(np.r_[start, len(b)])
     sizes, side, one = np.repeat(size, size), b["side"].to_numpy(), (b["i"] == b["j"]).to_numpy()
-    # Tiles of vectors of different lengths may follow each other: each length by itself.
+    # Tiles of codes of different lengths may follow each other: each length by itself.
     lengths = b["code"].map(len).to_numpy()
     for length in np.unique(lengths[sizes > 1]):
         own = np.flatnonzero((lengths == length) & (sizes > 1))
@@ -242,10 +242,11 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
                 for t in range(TABLES):
                     first &= (at[p] <= t) | (keys[p, t] != keys[q, t])
                 p, q = p[first], q[first]
-                if len(p):
-                    x, norm, place = exact[lengths[p[0]]]
-                    near = _cosines(x, norm, place[p], place[q]) >= threshold
-                    found.append((p[near], q[near]))
+                for length in np.unique(lengths[p]):
+                    x, norm, place = exact[length]
+                    u, v = (side[lengths[p] == length] for side in (p, q))
+                    near = _cosines(x, norm, place[u], place[v]) >= threshold
+                    found.append((u[near], v[near]))
             if not found:
                 continue
             p, q = (np.concatenate(f) for f in zip(*found))
