@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..catalog import active_sources
+from ..functions.names import quoted
 from ..operators.shape import stamp_provenance
 from ..sources.landing import dataset_inventory, landed_paths, landing_fingerprint
-from ..sources.readers import read_landed
+from ..sources.readers import BROKEN, read_landed
 from ..sources.sinks import replace_bronze
 from .ledger import Ledger
 
@@ -44,7 +46,8 @@ def run_bronze(
 
     Skipped when the ledger has a processed record for the same set of files. A failure is
     recorded with its reason and reported, not raised, so that other datasets still run. Landed data files
-    that can't be scanned (spreadsheets, say) are named in the outcome and the ledger.
+    that can't be scanned (spreadsheets, say) are named in the outcome and the ledger; JSON text that is no record is left out, and
+    counted in both.
     """
     dataset_id = f"{country.upper()}_{year}"
     fingerprint = None
@@ -58,13 +61,22 @@ def run_bronze(
         if ledger.is_processed(STAGE, country, year, fingerprint):
             return RunOutcome(dataset_id, SKIPPED)
         rows = read_landed(spark, files, delimiter, encoding, same_header, json_lines)
+        broken = None
+        if BROKEN in rows.columns:
+            broken = Observation()
+            text = F.col(quoted(BROKEN))
+            rows = rows.observe(broken, F.count(text).alias("pieces"), F.min(text).alias("example")).filter(text.isNull()).drop(BROKEN)
         count = replace_bronze(stamp_provenance(rows, country, year, at), bronze_path, country, year)
     except Exception as e:
         ledger.mark_failed(STAGE, country, year, str(e), fingerprint, {"error_type": type(e).__name__})
         return RunOutcome(dataset_id, "failed", str(e))
     metadata = {"files": len(files), "rows": count} | ({"unread": unread} if unread else {})
+    reasons = [f"not scannable: {unread}"] if unread else []
+    if broken and (pieces := broken.get["pieces"]):
+        metadata |= {"broken": pieces, "broken_example": broken.get["example"].strip("\x01 ")[:200]}
+        reasons.append(f"{pieces} broken JSON pieces")
     ledger.mark_processed(STAGE, country, year, fingerprint, metadata)
-    return RunOutcome(dataset_id, "processed", f"not scannable: {unread}" if unread else None)
+    return RunOutcome(dataset_id, "processed", "; ".join(reasons) or None)
 
 
 def run_catalog(

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from collections.abc import Sequence
 from pathlib import PurePosixPath
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.names import normalise_columns
+from ..functions.names import normalise_columns, normalise_name, quoted, unique_names
 from ..operators.shape import as_text, union_by_name
+from .json_scan import as_lines
 
 # Formats that can be scanned, by file suffix.
 DELIMITED_SUFFIXES = (".csv", ".txt")
@@ -39,6 +41,9 @@ DELIMITED_OPTIONS = {
     "maxColumns": "10000",
 }
 
+#: Spark's column for text that it could not parse, and the one that ``read_landed`` gives it as.
+CORRUPT, BROKEN = "_corrupt_record", "broken record text"
+
 Paths = str | Sequence[str]
 
 
@@ -79,10 +84,10 @@ def read_json(
     schema: StructType | str | None = None,
     lines: bool = False,
 ) -> DataFrame:
-    """JSON documents (one value or array per file), or with ``lines=True`` one object per line.
+    """JSON files known to hold one document each (a value or an array), or with ``lines=True`` one object per line.
 
-    A multi-line document cannot be split, so a file is one task; land large data as lines.
-    Passing ``schema`` saves the inference pass over the files.
+    Of a file with several documents over several lines only the first would be read: use ``read_json_any`` for files that
+    aren't known. Passing ``schema`` saves the inference pass over the files.
     """
     reader = spark.read.option("multiLine", not lines)
     return (reader.schema(schema) if schema is not None else reader).json(_as_list(paths))
@@ -94,35 +99,16 @@ def read_parquet(spark: SparkSession, paths: Paths, schema: StructType | str | N
     return reader.parquet(*_as_list(paths))
 
 
-class ShortenedJson(ValueError):
-    """A document of which Spark would read the first value only."""
-
+def read_json_any(spark: SparkSession, paths: Paths, lines: bool | None = None) -> DataFrame:
+    """JSON files of any shape: values on lines, documents over several lines, arrays of records, any number of each in a file.
 
-def _json_layouts(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Files whose every line is a JSON value, and files that hold one document over several lines.
-
-    One job over all files. A file of several documents over several lines is an error: Spark reads the first only.
+    Text that is no record comes as a row of its own, with nothing but that text in ``_corrupt_record``. A record is held by one
+    task, a file need not be. ``lines=True`` says that every file holds one value per line and saves telling them apart.
     """
-    text = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("line"))
-    bare = F.regexp_replace("line", r'"(\\.|[^"\\])*"?', '""')  # strings aside, what is left is structure
-    depth = F.length(F.regexp_replace(bare, r"[^{\[]", "")) - F.length(F.regexp_replace(bare, r"[^}\]]", ""))
-    files = text.filter("line <> ''").groupBy("path").agg(
-        F.count_if(F.get_json_object("line", "$").isNull()).alias("broken"),
-        F.count_if(bare.rlike(r"[}\]]\s*[{\[]")).alias("joined"),
-        F.sum(depth).alias("depth"),
-    )
-    found = {r["path"]: r for r in files.collect()}
-    names = {unquote(p.split(":", 1)[-1].replace("//", "/")): r for p, r in found.items()}
-    lines, documents = [], []
-    for path in paths:
-        r = names.get(unquote(path.split(":", 1)[-1].replace("//", "/")))
-        if r is None or not r["broken"]:
-            lines.append(path)
-        elif r["joined"] or r["depth"]:
-            raise ShortenedJson(f"more than one JSON document, or a broken one, in {path}")
-        else:
-            documents.append(path)
-    return lines, documents
+    found = _as_list(paths) if lines else as_lines(spark, _as_list(paths))
+    if not found:
+        return spark.createDataFrame([], StructType())
+    return read_json(spark, found, lines=True)
 
 
 def read_files(
@@ -134,33 +120,67 @@ def read_files(
     same_header: bool = False,
     json_lines: bool | None = None,
 ) -> DataFrame:
-    """Scan files of one format, chosen by suffix. ``json_lines`` tells whether JSON files hold one value per line; by default they are
-    single documents."""
+    """Scan files of one format, chosen by suffix. ``json_lines`` says that JSON files hold one value per line; by default their shape is
+    told from the files."""
     suffix = suffix.lower()
     if suffix in DELIMITED_SUFFIXES:
         return read_delimited(spark, paths, delimiter, encoding, same_header)
     if suffix == ".json":
-        return read_json(spark, paths, lines=bool(json_lines))
+        return read_json_any(spark, paths, json_lines)
     if suffix == ".parquet":
         return read_parquet(spark, paths)
     raise ValueError(f"cannot scan files of type {suffix!r}")
 
 
-def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Delimited files by their first line with text, in one job however many files there are.
-
-    Lines are compared as Spark decodes them; files grouped together wrongly would fail the scan, which checks headers.
-    """
+def _headers(spark: SparkSession, paths: Sequence[str], encoding: str | None) -> dict[str, str]:
+    """First line with text of each file that has one, by the path that Spark tells of it; one job however many files there are."""
     text = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
         F.monotonically_increasing_id().alias("line"),
     )
     first = text.filter((F.col("start") == 0) & (F.trim("value") != "")).groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    headers = {unquote(r["path"].split(":", 1)[-1].replace("//", "/")): r["header"] for r in first.collect()}
-    groups: dict[str | None, list[str]] = {}
-    for path in paths:
-        groups.setdefault(headers.get(unquote(path.split(":", 1)[-1].replace("//", "/"))), []).append(path)
-    return list(groups.values())
+    # The text scan keeps a file's bytes; they are decoded as the delimited scan does it.
+    header = F.decode(F.col("header").cast("binary"), charset(encoding))
+    return {r["path"]: r["header"] for r in first.select("path", header.alias("header")).orderBy("path").collect()}
+
+
+def header_names(header: str, delimiter: str = ";") -> list[str]:
+    """Column names of a header line, normalised, as the delimited scan tells them: a column without a name has its number, a repeated
+    name gets it appended."""
+    if len(delimiter) > 1:
+        cells = [c.strip('"') for c in header.split(delimiter)]
+    else:
+        cells = next(csv.reader([header], delimiter=delimiter, escapechar="\\", skipinitialspace=True), [])
+    names = [c.strip() for c in cells]
+    seen = Counter(n.lower() for n in names)
+    safe = [f"_c{i}" if not n else f"{n}{i}" if seen[n.lower()] > 1 else n for i, n in enumerate(names)]
+    return unique_names([normalise_name(n) for n in safe])
+
+
+#: Files up to which the places of columns are sent to all tasks: one row per file.
+BROADCAST_FILES = 200_000
+
+
+def read_headed(spark: SparkSession, paths: Paths, delimiter: str = ";", encoding: str | None = None) -> DataFrame:
+    """Delimited files, each with a header of its own, as one frame of all their columns (normalised names, NULL where a file lacks one).
+
+    One job finds the headers; one scan reads all files by position, and each row picks its columns from the places that its file's
+    header tells, so the plan is the same for two headers and for thousands.
+    """
+    paths = _as_list(paths)
+    told = _headers(spark, paths, encoding)
+    columns = {h: header_names(h, delimiter) for h in dict.fromkeys(told.values())}
+    if len(columns) < 2:
+        return normalise_columns(read_delimited(spark, paths, delimiter, encoding, same_header=True))
+    names = list(dict.fromkeys(n for own in columns.values() for n in own))
+    places = {h: [own.index(n) if n in own else -1 for n in names] for h, own in columns.items()}
+    files = spark.createDataFrame([(p, places[h]) for p, h in told.items()], "_path string, _places array<int>")
+    cells = [f"c{i}" for i in range(max(map(len, columns.values())))]
+    reader = spark.read.options(**DELIMITED_OPTIONS).options(delimiter=delimiter, encoding=charset(encoding))
+    rows = reader.schema(", ".join(f"{c} string" for c in cells)).csv(paths)
+    rows = rows.select(F.col("_metadata.file_path").alias("_path"), F.array(*cells).alias("_cells"))
+    rows = rows.join(F.broadcast(files) if len(told) <= BROADCAST_FILES else files, "_path")
+    return rows.select(*[F.get("_cells", F.get("_places", F.lit(j))).alias(n) for j, n in enumerate(names)])
 
 
 def _parquet_frames(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
@@ -183,10 +203,11 @@ def read_landed(
 ) -> DataFrame:
     """All scannable files of a dataset as one all-text frame with normalised names.
 
-    JSON and Parquet files are one scan each, with the columns of all files; delimited files are one scan per
-    header, found in one job over all of them. The parts are united by name with NULL for columns a part lacks.
-    ``same_header=True`` says that all delimited files share a header and saves that job. ``json_lines`` None: told
-    from the files.
+    Delimited, JSON and Parquet files are one scan each, with the columns of all files; one job finds the headers of
+    delimited files. The parts are united by name with NULL for columns a part lacks.
+    ``same_header=True`` says that all delimited files share a header and saves that job; ``json_lines=True`` that JSON files hold a
+    value per line. JSON text that is no record is a row with nothing but that text, in the column ``BROKEN``, which is
+    there only if Spark met such text.
     """
     by_suffix: dict[str, list[str]] = {}
     for path in sorted(files):
@@ -194,17 +215,24 @@ def read_landed(
     frames: list[DataFrame] = []
     delimited = [p for s in DELIMITED_SUFFIXES for p in by_suffix.get(s, [])]
     if delimited:
-        for group in [delimited] if same_header else header_groups(spark, delimited):
-            frames.append(read_delimited(spark, group, delimiter, encoding, same_header=True))
+        read = read_delimited(spark, delimited, delimiter, encoding, same_header=True) if same_header else read_headed(spark, delimited, delimiter, encoding)
+        frames.append(read)
     if documents := by_suffix.get(".json"):
-        lines, whole = _json_layouts(spark, documents) if json_lines is None else (documents, []) if json_lines else ([], documents)
-        frames += [read_json(spark, lines, lines=True)] if lines else []
-        frames += [read_json(spark, whole)] if whole else []
+        frames.append(read_json_any(spark, documents, json_lines))
     if parquet := by_suffix.get(".parquet"):
         frames += _parquet_frames(spark, parquet)
     if not frames:
         raise FileNotFoundError("no scannable files")
-    return union_by_name([as_text(normalise_columns(f)) for f in frames])
+    return union_by_name([_with_broken(f) for f in frames])
+
+
+def _with_broken(df: DataFrame) -> DataFrame:
+    """All columns as text with normalised names; what Spark could not parse in ``BROKEN``."""
+    if CORRUPT not in df.columns:
+        return as_text(normalise_columns(df))
+    others = [F.col(quoted(c)) for c in df.columns if c != CORRUPT]
+    rows = as_text(normalise_columns(df.select(*others, F.col(CORRUPT))))
+    return rows.withColumnRenamed(rows.columns[-1], BROKEN)
 
 
 def _as_list(paths: Paths) -> list[str]:
