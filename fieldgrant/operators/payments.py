@@ -23,6 +23,8 @@ EU_PAYOUT = "grand_total_eu_payout"
 PUBLIC_PAYOUT = "grand_total_public_payout"
 MACRO_COLUMNS = (EAGF, EAFRD, PUBLIC_PAYOUT)
 SLUG = "scheme_token"
+#: Share of all rows from which a key is summed in sub-groups first.
+HEAVY_SHARE = 0.02
 
 
 def _sums(columns: Sequence[str]) -> list[Column]:
@@ -40,26 +42,44 @@ def merge_payments(
     return df.groupBy(*keys).agg(*_sums(amounts), *[F.min(c).alias(c) for c in representatives])
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str] = MERGE_KEYS, share: float = HEAVY_SHARE, tracked: int = 4_096) -> list[int]:
+    """xxhash64 of the keys that hold at least ``share`` of all rows, and perhaps of some that hold a little less.
+
+    One pass with a frequent-items sketch of ``tracked`` counters: a task sends its counters, not keys, and at most 1 / share
+    numbers come back. The sketch counts too much or too little by at most 1 / ``tracked`` of the rows or so, which its threshold allows for.
+    """
+    most = max(1, int(1 / share))
+    told = df.select(F.xxhash64(*keys).alias("key")).agg(
+        F.expr(f"approx_top_k(key, {most}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")
+    ).first()
+    return sorted(t["item"] for t in told["top"] or [] if t["count"] >= (share - 2 / tracked) * told["n"])
+
+
 def merge_payments_salted(
     df: DataFrame,
     salts: int = 10,
     keys: Sequence[str] = MERGE_KEYS,
     amounts: Sequence[str] = AMOUNT_COLUMNS,
     representatives: Sequence[str] = REPRESENTATIVES,
+    heavy: Sequence[int] | None = None,
 ) -> DataFrame:
-    """As ``merge_payments`` in two phases, the first spread over ``salts`` sub-groups per key.
+    """As ``merge_payments``, with the rows of heavy keys summed in ``salts`` sub-groups per key first; all other keys take the plain way.
 
-    The salt is a hash of the representatives, so rows alike in them stay together and the first phase still shrinks its
-    input, while a frequent key whose rows differ is spread; a retried task puts a row where the first attempt did. Sums are
-    combined before the shuffle without a salt too: use this when a key has so many partial rows that one reducer is slow.
+    ``heavy`` are the keys' xxhash64 (see ``heavy_keys``, which is asked if there are none given); they change the plan, never the rows. A
+    sub-group is a hash of the representatives: rows alike in them stay together, so that the first phase shrinks its input, and a retried task puts a
+    row where the first attempt did. Without heavy keys this is the plain merge.
     """
-    salt = F.pmod(F.xxhash64(*representatives), F.lit(salts)).alias("salt")
-    subtotals = df.groupBy(salt, *keys).agg(
-        *[F.sum(cents(F.col(c))).alias(c) for c in amounts], *[F.min(c).alias(c) for c in representatives]
-    )
-    return subtotals.groupBy(*keys).agg(
+    heavy = heavy_keys(df, keys) if heavy is None else list(heavy)
+    if not heavy:
+        return merge_payments(df, keys, amounts, representatives)
+    among = F.xxhash64(*keys).isin(heavy)
+    salt = F.pmod(F.xxhash64(*representatives), F.lit(salts)).alias("_salt")
+    # Sums alone need no sorting; the smallest representatives are taken from what they leave.
+    told = df.filter(among).groupBy(salt, *keys, *representatives).agg(*[F.sum(cents(F.col(c))).alias(c) for c in amounts])
+    merged = told.groupBy(*keys).agg(
         *[(F.sum(c) / F.lit(100.0)).alias(c) for c in amounts], *[F.min(c).alias(c) for c in representatives]
     )
+    return merge_payments(df.filter(~among), keys, amounts, representatives).union(merged)
 
 
 def payout_totals(df: DataFrame) -> DataFrame:

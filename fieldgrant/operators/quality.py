@@ -84,7 +84,8 @@ def quality_report(
     rules = _rules(df, required, amounts, trim)
     counted = df.agg(
         F.count(F.lit(1)).alias("total"),
-        *[F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)],
+        # Nulls are what a count leaves out, the cheapest aggregate there is.
+        *[(F.count(F.lit(1)) - F.count(quoted(c)) if r == "not_null" else F.count_if(broken)).alias(f"r{i}") for i, (r, c, broken) in enumerate(rules)],
     )
     rows = [
         F.struct(

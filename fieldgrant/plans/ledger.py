@@ -1,7 +1,8 @@
 """The run ledger: an append-only table of run events, partitioned by stage.
 
 A run appends one event; the current state is the latest event per key. Nothing is read, changed
-and written back, so concurrent runs of different datasets cannot lose each other's records.
+and written back, so concurrent runs of different datasets cannot lose each other's records. Compaction publishes a snapshot of the
+events beside the log and only then deletes what the snapshot holds; an event that is in both counts once.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialise
+from ..sources.snapshots import Snapshots, delete_paths
 
 PROCESSED = "processed"
 FAILED = "failed"
@@ -46,11 +47,19 @@ def pending(wanted: DataFrame, done: DataFrame, keys: Sequence[str], fingerprint
     return wanted.join(d, same, "left_anti")
 
 
+def _once(events: DataFrame) -> DataFrame:
+    """Events that are there twice as one."""
+    values = F.struct(*[c for c in events.columns if c != "recorded_at"], F.unix_micros("recorded_at").alias("at"))
+    return events.withColumn("_event", F.md5(F.to_json(values, {"ignoreNullFields": "false"}))).dropDuplicates(["_event"]).drop("_event")
+
+
 class Ledger:
     """Run events at ``path``; the table is created where there is none."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        # Folders with an underscore are no partitions of the log.
+        self.snapshots = Snapshots(spark, f"{path}/_snapshots")
         none = spark.createDataFrame([], LEDGER_SCHEMA)
         none.write.mode("ignore").partitionBy("stage").parquet(path)
 
@@ -96,8 +105,14 @@ class Ledger:
 
     def events(self, stage: str | None = None) -> DataFrame:
         """All run events, or those of one stage."""
-        found = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
-        return found if stage is None else found.filter(F.col("stage") == stage.upper())
+        log = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+        # The log was listed above: what has gone from it since is in the snapshot that is asked for now.
+        held = self.snapshots.read(LEDGER_SCHEMA)
+        if held is None:
+            return log if stage is None else log.filter(F.col("stage") == stage.upper())
+        both = log.unionByName(held)
+        both = both if stage is None else both.filter(F.col("stage") == stage.upper())
+        return _once(both)
 
     def current(self, stage: str | None = None) -> DataFrame:
         """The latest record per stage and dataset, with the time of its first one."""
@@ -116,10 +131,15 @@ class Ledger:
         return done.agg(F.max_by("fingerprint", "recorded_at")).first()[0]
 
     def compact(self) -> None:
-        """Rewrite the events as one file per stage. Not while a run may append."""
-        spread = self.events().repartition("stage")
-        held = materialise(spread, "ledger")
-        held.repartition("stage").write.mode("overwrite").partitionBy("stage").parquet(self.path)
+        """Gather the events in one snapshot, a file per stage, and delete their files. Runs may append meanwhile: their events stay in the
+        log. If it stops at any point, no event is lost and none counts twice."""
+        log = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+        files = log.inputFiles()
+        held = self.snapshots.read(LEDGER_SCHEMA)
+        events = log if held is None else _once(log.unionByName(held))
+        self.snapshots.publish(self.snapshots.write(events.repartition("stage"), ["stage"]))
+        delete_paths(self.spark, files)
+        self.snapshots.forget(keep=2)  # a reader may still be at the one before
 
     def is_processed(self, stage: str, country: str, year: str, fingerprint: str | None = None) -> bool:
         done = self.record(stage, country, year).filter(

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions.amounts import parse_failed
 from ..functions.names import quoted
-from ..operators.profile import duplicate_grain
+from ..operators.profile import grain_key, repeated_grain
 from ..operators.quality import GUARD_MARK, QualityViolation, enforce_schema, guard
 from ..operators.shape import fill_missing, stamp_silver
-from ..sources.sinks import read_bronze_dataset, write_silver
+from ..sources.scratch import materialise
+from ..sources.sinks import SILVER_PARTITIONS, read_bronze_dataset, write_silver
 from ..spec import DATASETS, SILVER_SCHEMA, DatasetSpec
 from . import bronze
 from .bronze import SKIPPED, RunOutcome
@@ -63,13 +64,17 @@ def run_silver(
     spec: DatasetSpec,
     at: Column | None = None,
     unique_grain: bool = False,
+    exact_grain: bool = True,
 ) -> RunOutcome:
     """Bring one bronze dataset into the silver table.
 
-    Reads bronze once: parsing, intake metrics, quality rules and the write are one job, and a
+    Reads bronze once: parsing, intake metrics, quality rules, a sketch of the distinct grain values and the write are one job, and a
     broken rule fails that job before it commits. Skipped while the bronze fingerprint is unchanged; data without a
-    fingerprint is never taken for done. Columns beyond the contract that the spec names are kept after it. The
-    ledger tells how many grain values have more than one row; with ``unique_grain`` any is a broken rule.
+    fingerprint is never taken for done. Columns beyond the contract that the spec names are kept after it.
+
+    The ledger tells how many grain values have more than one row, counted over the grain columns of what was written;
+    ``exact_grain=False`` saves that and leaves the sketch's number of distinct values (``grain_estimate``, 2% off or so). With ``unique_grain`` a
+    repeated value is a broken rule: rows are then written to the scratch folder, counted there, and copied to silver if there is none.
     """
     country, year = spec.country, spec.year
     fingerprint = None
@@ -80,9 +85,7 @@ def run_silver(
             return RunOutcome(spec.dataset_id, SKIPPED)
         raw = read_bronze_dataset(spark, bronze_path, country, year)
         prepared = raw if spec.prepare is None else raw.transform(spec.prepare)
-        if prepared.isEmpty():
-            raise QualityViolation("not_empty")
-        intake = Observation()
+        intake, distinct = Observation(), Observation()
         silver = (
             _mapped_with_raw(prepared, spec)
             .observe(intake, *intake_metrics(spec))
@@ -93,11 +96,22 @@ def run_silver(
         extra = [f.target for f in spec.fields if f.target not in SILVER_SCHEMA.names]
         silver = silver.select(*[c for c in SILVER_SCHEMA.names if c in silver.columns], *extra)
         checked = guard(enforce_schema(silver, spec.contract(silver.schema)))
-        repeated = duplicate_grain(silver, spec.grain).count()
-        if repeated and unique_grain:
-            raise QualityViolation(f"unique grain: {repeated} repeated")
-        write_silver(checked, silver_path)
-        metrics = intake.get | {"repeated_grain": repeated}
+        checked = checked.observe(distinct, F.approx_count_distinct(grain_key(checked, spec.grain), 0.02).alias("grain_estimate"))
+        staged = materialise(checked, "silver") if unique_grain else checked
+        if not unique_grain:
+            write_silver(checked, silver_path)  # without rows this replaces nothing
+        metrics = intake.get | distinct.get
+        if not metrics["rows"]:
+            raise QualityViolation("not_empty")
+        if unique_grain or exact_grain:
+            # One dataset is one value of these columns.
+            grain = [c for c in spec.grain if c not in SILVER_PARTITIONS] or list(spec.grain)
+            written = staged if unique_grain else spark.read.schema(checked.schema).parquet(f"{silver_path}/country={country}/year={year}")
+            metrics |= {"repeated_grain": repeated_grain(written, grain).count()}
+        if unique_grain:
+            if metrics["repeated_grain"]:
+                raise QualityViolation(f"unique grain: {metrics['repeated_grain']} repeated")
+            write_silver(staged, silver_path)
     except Exception as e:
         broken = re.search(re.escape(GUARD_MARK) + "[^;]+", str(e))
         reason = broken.group(0) if broken else str(e)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import links
 from ..functions.fingerprints import summed
+from .blocks import BLOCK, block_columns, earlier, up_to
 from .readers import SCANNABLE
 
 # Suffixes that make a landed file a data file (any of a name's suffixes counts).
@@ -36,13 +37,34 @@ def inventory(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUF
 
 
 def file_fingerprints(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUFFIXES) -> DataFrame:
-    """MD5 of each data file's bytes. Spark holds one file per row, at most 2 GB each; compare
-    larger files by ``landing_fingerprint`` or by ``dataset_fingerprint`` of their rows."""
+    """MD5 of each data file's bytes. Spark holds one file per row, at most 2 GB each; ``content_fingerprints`` has no such limit."""
     return _landed(spark, root, suffixes).select(
         "path", "file_name", "length", F.md5("content").alias("fingerprint")
     )
 
 
+def content_fingerprints(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUFFIXES) -> DataFrame:
+    """A digest of each data file's bytes, for files of any size: (path, file_name, length, fingerprint).
+
+    A file is read in as many tasks as Spark splits it into, piece by piece (a piece ends with a line feed). Each piece's MD5 is digested again
+    with the piece's place in the file, and these digests are added up, so the result doesn't depend on how the file was split. Only
+    digests are shuffled. Files compressed by line (gz, bz2) are read as their content; a piece is at most 2 GB.
+    """
+    files = inventory(spark, root, suffixes)
+    text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
+    wanted = rf"(?i)^.+\.({'|'.join(suffixes)})(\.[^/]*)?$"
+    piece = F.col("value").cast("binary")
+    rows = text.filter(F.col("_metadata.file_name").rlike(wanted))
+    rows = rows.select(*block_columns(), F.md5(piece).alias("digest"), (F.octet_length(piece) + 1).cast("long").alias("size"))
+    before = earlier(rows.groupBy(*BLOCK).agg(F.sum("size").alias("n")), F.sum("n"), "before")
+    place = F.coalesce("before", F.lit(0)) + F.coalesce(F.sum("size").over(up_to("line", last=-1)), F.lit(0))
+    placed = rows.join(before, list(BLOCK)).select("path", F.md5(F.concat(place.cast("string"), F.lit(":"), "digest").cast("binary")).alias("digest"))
+    found = placed.groupBy(F.col("path").alias("_path")).agg(summed(F.col("digest")).alias("fingerprint"))
+    # Files without bytes have no pieces.
+    both = files.join(found, F.col("path") == F.col("_path"), "left").drop("_path", "modified_at")
+    return both.withColumn("fingerprint", F.coalesce("fingerprint", F.lit("0-0-0-0")))
+
+
 def landing_fingerprint(files: DataFrame, root: str = "") -> DataFrame:
     """One row for an inventory: (file_count, byte_count, fingerprint) of the files' paths below ``root``, lengths and times of change.
 

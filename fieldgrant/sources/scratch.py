@@ -34,9 +34,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back, so that several consumers share one computation that
     survives the loss of executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write if compression is None else df.write.option("compression", compression)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a materialised table that nothing will read again, and let Spark remove the shuffle files of finished jobs, which it does
+    when the JVM collects garbage: long chains of stages would hold all of them otherwise."""
+    from .snapshots import delete_paths
+
+    spark = table.sparkSession
+    delete_paths(spark, sorted({f.rsplit("/", 1)[0] for f in table.inputFiles()}))
+    spark._jvm.System.gc()
