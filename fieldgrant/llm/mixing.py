@@ -3,7 +3,8 @@
 Every source's documents fall into a fixed number of blocks by a hash, and the blocks have a pseudo-random
 order. A pass over a source takes whole blocks in that order and, of the last block, the documents
 up to a threshold. A multivariate-hypergeometric splitting tree deals each source's exact number of drawn blocks to
-output shards; shards take disjoint runs of the block order and are shuffled within.
+output shards; shards take disjoint runs of the block order and are shuffled within. A document is in the mix as
+often as a shard draws its block.
 """
 
 from __future__ import annotations
@@ -109,6 +110,7 @@ def plan_mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> Plan:
     # A window holds the blocks of one source, at most BLOCKS rows.
     cut = (
         blocks.join(F.broadcast(wishes), same).select(wishes["source"], "_pos", "words", "need")
+        .filter("need > 0")  # else whole passes are all there is, for documents without words too
         .withColumn("sum", F.sum("words").over(summed))
         .filter(F.col("sum") > F.col("need"))
         .groupBy("source").agg(F.min(F.struct("_pos", "sum", "words", "need")).alias("c"))
@@ -135,38 +137,42 @@ def plan_mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> Plan:
     return Plan(spark.createDataFrame(full, schema), shards, 1 + int(sum(wanted) / (shards * PART_WORDS)))
 
 
-def with_copies(docs: DataFrame, plan: Plan) -> DataFrame:
-    """Adds source_size, target and _copies (how often the mix takes the document)."""
+def with_draws(docs: DataFrame, plan: Plan) -> DataFrame:
+    """Adds source_size, target and _draws: (index, shard) of each draw of the document's block. A source's drawn blocks are numbered
+    through its passes; a shard draws those numbers from its left neighbour's end to its own. Of the last one, only
+    documents up to the threshold are drawn."""
     joined = docs.join(F.broadcast(plan.sources), F.col("source").eqNullSafe(F.col("_source")), "left")
-    in_part = (F.col("_pos") < F.col("cut")) | ((F.col("_pos") == F.col("cut")) & (F.col("_h") <= F.col("last")))
-    return joined.withColumn("_copies", F.col("passes") + F.coalesce(in_part, F.lit(False)).cast("int"))
+    whole = F.col("passes") * BLOCKS + F.col("cut")
+    turns = F.transform(F.sequence(F.lit(0), F.col("passes")), lambda t: t * BLOCKS + F.col("_pos"))
+    drawn = F.filter(turns, lambda i: (i < whole) | ((i == whole) & (F.col("_h") <= F.col("last"))))
+    shard = lambda i: F.size(F.filter("ends", lambda e: e <= i))
+    return joined.withColumn("_draws", F.transform(drawn, lambda i: F.struct(i.alias("index"), shard(i).alias("shard"))))
 
 
 def assignments(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every document; ``docs`` has doc_id, text and source.
+    """(doc_id, source, size, source_size, target, taken, shards) of every document; ``docs`` has doc_id, text and source. ``shards`` tells the
+    number of each shard that draws it, ``taken`` is its size for each of these.
 
     A null text has size 0; a null source is a source of its own, the last. Rows alike in doc_id and text
     are taken together. Reruns agree. An empty table gives an empty result.
     """
     keyed = materialise(_keyed(docs, F.col("doc_id")), "sizes")
-    found = with_copies(keyed, plan_mix(keyed, shards, seed))
-    taken = (F.col("_size") * F.col("_copies")).alias("taken")
-    return found.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", taken)
+    found = with_draws(keyed, plan_mix(keyed, shards, seed))
+    taken = (F.col("_size") * F.size("_draws")).alias("taken")
+    return found.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", taken, F.col("_draws.shard").alias("shards"))
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
-    """The mix itself: ``docs`` with every document as often as it is taken, dealt to shards and
+    """The mix itself: ``docs`` with every document as often as shards draw it, dealt to shards and
     shuffled within each; parts of a large shard are random, too. Columns are those of ``docs``."""
     plan = plan_mix(materialise(_keyed(docs), "sizes"), shards, seed)
-    drawn = with_copies(_keyed(docs, F.struct("*").alias("_row")), plan).filter("_copies > 0")
-    drawn = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    index = (F.col("_copy") - 1) * BLOCKS + F.col("_pos")
-    drawn = drawn.withColumn("_shard", F.size(F.filter("ends", lambda e: e <= index)))
-    order = F.xxhash64(F.lit(seed), "_h", "_copy")
-    drawn = drawn.withColumn("_order", order).withColumn("_part", F.pmod("_order", F.lit(plan.parts)))
+    drawn = with_draws(_keyed(docs, F.struct("*").alias("_row")), plan)
+    drawn = drawn.select("_row", "_h", F.explode("_draws").alias("_draw"))
+    order = F.xxhash64(F.lit(seed), "_h", F.floor(F.col("_draw.index") / BLOCKS) + 1)
+    drawn = drawn.withColumn("_order", order).withColumn("_part", F.pmod("_order", F.lit(plan.parts))).withColumn("_shard", F.col("_draw.shard"))
     return drawn.repartition("_shard", "_part").sortWithinPartitions("_shard", "_part", "_order").select("_row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return assignments(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return assignments(docs).select("doc_id", "size", "source_size", "target", "taken", "shards")

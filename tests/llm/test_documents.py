@@ -1,6 +1,8 @@
 """Operators on documents against brute force, on rows with every kind of oddity."""
 
 import hashlib
+import itertools
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -87,6 +89,90 @@ def test_viterbi_against_all_paths():
         at += n
 
 
+def test_crf_likelihood_against_all_paths():
+    """Value and gradient, from every labelling of every document."""
+    rng = np.random.default_rng(12)
+    lengths, f = [1, 3, 5, 2], quality_crf.FEATURES
+    lines = quality_crf._Lines(np.zeros((5, 4, f)), np.zeros((5, 4), bool), np.zeros((5, 4), np.int64))
+    for i, n in enumerate(lengths):
+        lines.x[:n, i], lines.live[:n, i], lines.y[:n, i] = rng.normal(size=(n, f)), True, rng.integers(0, 2, n)
+
+    def plain(flat):
+        w, between, first = flat[:f], flat[f : f + 4].reshape(2, 2), flat[-2:]
+        total = 0.0
+        for i, n in enumerate(lengths):
+            def score(y):
+                s = first[y[0]] + sum((lines.x[t, i] @ w) * y[t] for t in range(n))
+                return s + sum(between[y[t - 1], y[t]] for t in range(1, n))
+
+            total += score(lines.y[:n, i]) - np.log(sum(np.exp(score(y)) for y in itertools.product((0, 1), repeat=n)))
+        return total
+
+    flat = rng.normal(size=f + 6) / 2
+    value, gradient = quality_crf.likelihood(flat, lines)
+    assert value == pytest.approx(plain(flat))
+    for j in range(len(flat)):
+        step = np.zeros(len(flat))
+        step[j] = 1e-5
+        assert gradient[j] == pytest.approx((plain(flat + step) - plain(flat - step)) / 2e-5, abs=1e-5)
+
+
+def test_crf_fit_is_at_the_top_of_the_likelihood():
+    rng = np.random.default_rng(13)
+    x = [np.c_[np.ones(6), rng.normal(size=(6, quality_crf.FEATURES - 1))] for _ in range(40)]
+    y = [(s[:, 1] + rng.normal(size=6) > 0).astype(int) for s in x]
+    ridge = 0.05
+    model = quality_crf.fit(x, y, steps=3_000, rate=0.02, ridge=ridge)
+    lines = quality_crf._Lines(np.stack([((s - model.mean) / model.scale) for s in x], axis=1), np.ones((6, 40), bool), np.stack(y, axis=1))
+    flat = np.concatenate([model.weights, model.between.ravel(), model.first])
+    assert abs(quality_crf.likelihood(flat, lines)[1] / 240 - ridge * flat).max() < 1e-3
+
+
+def test_lines_of_their_own_labels_are_found(spark):
+    """Good documents with known boilerplate inside, bad ones with some content; only the documents are labelled."""
+    rng = random.Random(14)
+
+    def prose():
+        return " ".join("".join(rng.choice("abcdeinorst") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(12, 30))).capitalize() + "."
+
+    def menu():
+        return " | ".join("".join(rng.choice("abcdeinorst") for _ in range(rng.randint(3, 8))).title() for _ in range(rng.randint(5, 14)))
+
+    share = ["Home | About | Contact | Terms | Login", "Share on: Facebook | Twitter | Mail | Print"]
+    docs, truth, labels = [], {}, []
+    for i in range(300):
+        good = i % 2
+        kinds = [rng.random() < (0.3 if good else 0.75) for _ in range(12)]
+        kinds[0] = not good  # at least one of the other sort
+        if (sum(kinds) < 6) != good:
+            kinds = [not good] * 7 + [bool(good)] * 5
+        lines = [rng.choice(share) if k and rng.random() < 0.3 else menu() if k else prose() for k in kinds]
+        words = [len(line.replace("|", " ").split()) if k else len(line.split()) for line, k in zip(lines, kinds)]
+        if (sum(w for w, k in zip(words, kinds) if not k) >= sum(words) / 2) != good:
+            continue
+        docs.append((i, "\n".join(lines)))
+        labels.append((i, good))
+        truth[i] = kinds
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = quality_crf.train(frame, spark.createDataFrame(labels, "doc_id long, quality int"))
+    right = total = mixed = 0
+    for i, text in docs:
+        x = quality_crf.line_features([text])[0]
+        found = quality_crf.viterbi(model, model.emissions(x), np.array([len(x)]))
+        right += sum(a == b for a, b in zip(found, truth[i]))
+        total += len(found)
+        mixed += 0 < found.sum() < len(found)
+    assert right >= 0.9 * total and mixed >= 0.9 * len(docs)
+
+
+def test_copies_of_a_document_are_no_shared_lines(spark):
+    docs = [(f"a\nb{i}\nfooter\nc{i}",) for i in range(4)] + [("x\ny\nz",)] * 50 + [(None,), ("",)]
+    frame = spark.createDataFrame(docs, "text string")
+    wanted = spark.createDataFrame([(t,) for t in ("a", "footer", "x", "y", "z", "b1", "")], "t string").select("t", F.xxhash64("t").alias("h"))
+    found = quality_crf.shared_lines(frame, wanted.select("h")).join(wanted, "h")
+    assert sorted(r.t for r in found.collect()) == ["a", "footer"]
+
+
 def test_crf_learns_marked_lines(spark, odd):
     clean = "Plain words make a calm and even line of text here.\nAnother one follows it, as calm as the first was."
     noise = "BUY!! NOW!! ### $$$ CHEAP!!\n%%% &&& CLICK!! HERE!!"
@@ -138,7 +224,7 @@ def test_line_dedup_against_brute_force(spark, odd, odd_rows, nothing):
     rows = [(r[0], r[1]) for r in odd_rows if r[1] is None or len(r[1]) < 100_000]
     rows += [(100 + i, "alpha beta gamma delta " * 6 + f"{'x' * (i % 3)} end {w}") for i, w in enumerate("abcdefgh")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = line_dedup.dedup_lines(docs).collect()
+    found = line_dedup.dedup_lines(docs, distance=line_dedup.DISTANCE).collect()
     assert len(found) == len(rows)
     roots, pairs = brute_lines(rows)
     assert pairs
@@ -179,7 +265,7 @@ def test_line_dedup_by_edit_similarity_alone(spark, odd_rows, monkeypatch, hot):
     lines += ["a a a a a a a a a b", "a a a a a a a a a c", "b a a a a a a a a", "x y x y x y x y x y", "x y x y x y x y x z"]
     lines = [line for line in lines if len(line) < 5_000]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    found = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs, distance=None).collect()}
+    found = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()}
     normal = [re.sub(r"[\W_]+", " ", x.lower()).strip() for x in lines]
     words_of = [x.split(" ") for x in normal]
 
@@ -284,7 +370,8 @@ def test_targets():
     assert mixing.targets([], []) == []
     assert mixing.targets([0, 0], [3, 1]) == [0, 0]
     found = mixing.targets([10, 100, 100], [3, 1, 2])
-    assert found[0] == 20 and sum(found) == pytest.approx(315) and found[2] == pytest.approx(2 * found[1]) or max(found) <= 200
+    assert found[0] == 20 and sum(found) == pytest.approx(315) and found[2] == pytest.approx(2 * found[1]) and max(found) <= 200
+    assert mixing.targets([10, 20], [1, 1], share=2) == [20, 40]
 
 
 def test_split_keeps_quotas():
@@ -311,6 +398,68 @@ def test_mixing(spark, odd, odd_rows, nothing):
     assert all(abs(r["t"] - r["target"]) < 100 for r in by)
 
 
+def plain_mix(keyed, shards):
+    """Copies of each row by shard, from (source, size, hash, place of its block), written out block by block."""
+    names = sorted({k[0] for k in keyed}, key=lambda s: (s is None, s or ""))
+    wanted = mixing.targets([sum(k[1] for k in keyed if k[0] == s) for s in names], [mixing.WEIGHTS[i % 3] for i in range(len(names))])
+    drawn = {}  # source -> the blocks it gives, in order, each as the rows in it
+    for s, t in zip(names, wanted):
+        blocks = [[i for i, k in enumerate(keyed) if k[0] == s and k[3] == place] for place in range(mixing.BLOCKS)]
+        size = sum(k[1] for k in keyed if k[0] == s)
+        drawn[s], need = [], t
+        while size and need >= size:
+            drawn[s] += blocks
+            need -= size
+        for rows in blocks if size and need > 0 else []:
+            words = sum(keyed[i][1] for i in rows)
+            if words > need:
+                last, upto = [], 0
+                for h in sorted({keyed[i][2] for i in rows}):
+                    alike = [i for i in rows if keyed[i][2] == h]
+                    w = sum(keyed[i][1] for i in alike)
+                    upto += w
+                    if upto - w / 2 > need:
+                        break
+                    last += alike
+                drawn[s] += [last] if last else []
+                break
+            drawn[s].append(rows)
+            need -= words
+    dealt = mixing.split_quotas(np.array([len(drawn[s]) for s in names], np.int64), shards) if names else np.zeros((shards, 0), int)
+    out, taken = [[] for _ in keyed], {s: 0 for s in names}
+    for shard in range(shards):
+        for s, n in zip(names, dealt[shard]):
+            for rows in drawn[s][taken[s] : taken[s] + n]:
+                for i in rows:
+                    out[i].append(shard)
+            taken[s] += n
+    return out
+
+
+@pytest.mark.parametrize("blocks", [1024, 8])
+def test_mixing_against_a_plain_version(spark, odd, tmp_path, monkeypatch, blocks):
+    monkeypatch.setattr(mixing, "BLOCKS", blocks)
+    empty = spark.createDataFrame([(1000 + i, " " * i, "en", f"s{i % 3}", i, "x", None) for i in range(40)], odd.schema)
+    some = odd.union(empty)
+    some.write.parquet(f"{tmp_path}/documents.parquet")
+    found = mixing.op5_mixing(spark, str(tmp_path))
+    assert found.columns == ["doc_id", "size", "source_size", "target", "taken", "shards"]
+    keyed = [tuple(r) for r in mixing._keyed(some, F.col("doc_id")).select("source", "_size", "_h", "_pos", "doc_id").collect()]
+    draws = plain_mix(keyed, mixing.SHARDS)
+    want = sorted(((k[4], k[1], k[1] * len(d), d) for k, d in zip(keyed, draws)), key=repr)
+    assert sorted(((r.doc_id, r.size, r.taken, r.shards) for r in found.collect()), key=repr) == want
+    assert all(len(d) <= mixing.MOST for d in draws)
+    mixed = Counter(r.doc_id for r in mixing.mix(some).collect())
+    assert mixed == Counter({k: n for k, n in sum((Counter({i: len(s)}) for i, *_, s in want), Counter()).items() if n})
+
+
+def test_shards_draw_disjoint_blocks(spark, odd):
+    docs = mixing._keyed(odd.repartition(4), F.col("doc_id"))
+    plan = mixing.plan_mix(docs, 5)
+    draws = mixing.with_draws(docs, plan).select("source", F.explode("_draws").alias("d")).select("source", "d.*")
+    assert draws.groupBy("source", "index").agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
+
+
 # Tokens ------------------------------------------------------------------------------------------
 
 
