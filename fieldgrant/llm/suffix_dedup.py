@@ -457,4 +457,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    """Per document what goes, and how many bytes stay."""
+    found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return found.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))
