@@ -139,7 +139,8 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS) -> Classifier |
 
 def identify(docs: DataFrame, model: Classifier | None, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (columns of these names are replaced): the language of
-    the whole text, ``und`` with score 0 for a null text, one without a letter, or without a model."""
+    the whole text, ``und`` with score 0 for a null text, one without a letter, or without a model. Equal scores go to the language
+    that comes first by code point; repeated rows get the same. An empty table gives an empty result."""
 
     @F.pandas_udf("lang_pred string, score double")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -147,8 +148,9 @@ def identify(docs: DataFrame, model: Classifier | None, text: str = "text") -> D
             names, scores = model.predict(list(b)) if model else (["und"] * len(b), np.zeros(len(b)))
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    docs = docs.drop("lang_pred", "score").withColumn("_found", predicted.asNondeterministic()(F.col(text)))
-    return docs.select("*", "_found.lang_pred", "_found.score").drop("_found")
+    own = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
+    found = docs.select(F.struct("*").alias("_row"), predicted.asNondeterministic()(F.col(text)).alias("_found"))
+    return found.select(*own, "_found.lang_pred", "_found.score")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -164,9 +164,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         F.max("labels").alias("labels"), F.collect_set("length").alias("lengths"), F.count(F.lit(1)).alias("n")
     ).first()
     host, path = url_parts(F.col(url))
-    pages = pages.drop("host", "path", "rule", "verdict").withColumn("host", host).withColumn("path", path)
+    # Rows are kept in one column, so that none of their names can clash with those used here.
+    own = [F.col("_row")[c].alias(c) for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    pages = pages.select(F.struct("*").alias("_row"), host.alias("host"), path.alias("path"))
     if not about["n"]:
-        return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return pages.select(*own, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     keys = candidate_keys(F.col("host"), F.col("path"), about["labels"], sorted(about["lengths"]))
     universe = pages.select(F.explode(keys).alias("key")).select(*[h.alias(n) for h, n in zip(_hashes("key"), ("h1", "h2"))])
     universe = materialise(universe.distinct(), "universe")
@@ -184,7 +186,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         if turn + 1 < passes:
             out = materialise(out, "probed")
     verdict = F.when(F.col("_best.code") == 2, "block").when(F.col("_best.code") == 1, "allow").otherwise(default)
-    return out.withColumn("rule", F.col("_best.key")).withColumn("verdict", verdict).drop("_best")
+    return out.select(*own, "host", "path", F.col("_best.key").alias("rule"), verdict.alias("verdict"))
 
 
 def _probed(spark: SparkSession, pages: DataFrame, keys, cascades: list[Cascade], turn: int, passes: int) -> DataFrame:

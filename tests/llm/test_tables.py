@@ -114,3 +114,18 @@ def test_calibration_on_distinct_vectors(monkeypatch):
     x = np.random.default_rng(4).normal(size=(50, 6))
     ann_tree.fit(np.concatenate([x, np.repeat(x[:1], 500, axis=0)]))
     assert seen == [50]
+
+
+def test_extra_columns_of_any_name_stay(spark):
+    """Names that the operators use themselves."""
+    from fieldgrant.llm import language
+
+    names = ("_best", "_keys", "_codes", "_row", "_found", "key", "h1")
+    pages = spark.createDataFrame([(1, "http://a.net/x", *names)], "page_id long, url string, " + ", ".join(f"{n} string" for n in names))
+    listed = spark.createDataFrame(list(url_cascade.RULES), "host string, path string, verdict string")
+    for rules in (listed, listed.limit(0)):
+        found = url_cascade.filter_urls(pages, rules)
+        assert found.columns == ["page_id", "url", *names, "host", "path", "rule", "verdict"]
+        assert found.select(*names).first() == names
+    found = language.identify(pages.withColumnRenamed("url", "text"), None)
+    assert found.columns == ["page_id", "text", *names, "lang_pred", "score"] and found.select(*names).first() == names
