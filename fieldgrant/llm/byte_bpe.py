@@ -241,7 +241,8 @@ def text_encoder(ranks: bytes, pattern: str) -> TextEncoder:
 
 def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int; a column of that name is replaced). A null text is encoded as
-    empty: no ids. Rows are neither dropped nor merged."""
+    empty: no ids. Rows are neither dropped nor merged, repeated ones get the same ids; an empty table gives an empty result. A text is
+    encoded whole, by one task, however long; there are no ties, as a text has one encoding."""
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
     @F.pandas_udf("array<int>")
@@ -254,7 +255,8 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> D
 
 
 def decode(rows: DataFrame, ranks: bytes, pattern: str, ids: str = "ids") -> DataFrame:
-    """``rows`` with ``decoded`` (binary): the bytes that the ids stand for; null ids give null."""
+    """``rows`` with ``decoded`` (binary; a column of that name is replaced): the bytes that the ids stand for; null ids give null. Rows are
+    neither dropped nor merged; an empty table gives an empty result."""
     sent = rows.sparkSession.sparkContext.broadcast(ranks)
     del pattern  # decoding needs the tokens alone
 
@@ -289,7 +291,8 @@ def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
 
 def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encodes every text, then decodes its ids. Made in one
-    pass, so that ids needn't leave the worker."""
+    pass, so that ids needn't leave the worker. A null text counts as empty, repeated rows give repeated results, and an empty
+    table none; texts are taken whole, other columns are ignored."""
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -382,8 +382,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCUMENTS)
 
 def with_quality(docs: DataFrame, model: Crf | None, share: float = CONTENT_SHARE, text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``quality_report`` (replacing one of that name): the counts, ``content_share`` and
-    ``kept``. Rows are neither dropped nor merged; a null text counts as empty, and so fails. Without
-    a model every line counts as content."""
+    ``kept``. Rows are neither dropped nor merged, repeated ones are judged alike; a null text counts as empty, and so fails. Texts are
+    taken whole. Labellings of equal score go to content. Without a model every line counts as content; an empty table gives an empty result."""
 
     @F.pandas_udf(COLUMNS)
     def report(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -233,7 +233,8 @@ def linked(codes: DataFrame, most: int = DISTANCE) -> DataFrame:
 
 
 def with_fingerprint(docs: DataFrame, size: int = SHINGLE, text: str = "text") -> DataFrame:
-    """``docs`` with ``code`` (long): the fingerprint of the whole text; 0 for a null text or one without words."""
+    """``docs`` with ``code`` (long; a column of that name is replaced): the fingerprint of the whole text, however long; 0 for a null text or
+    one without words. Rows are neither dropped nor merged; a bit set in just half the shingles is 0."""
 
     @F.pandas_udf("long")
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -172,7 +172,8 @@ SEGMENTS = "part int, segment int, n_ids long, doc_ids array<long>, data binary"
 
 def write(docs: DataFrame, definition: str, path: str, end: int = END) -> None:
     """Encode ``docs`` (doc_id, text) in ascending doc_id order (null first; equal ids by a hash of the text) and write
-    segments to ``path``. A null text counts as empty; ``end`` follows every document."""
+    segments to ``path``. A null text counts as empty; ``end`` follows every document. Repeated rows are documents of their own, side by
+    side; a text is encoded whole and may be larger than a segment should be. An empty table gives a table without segments."""
     sent = docs.sparkSession.sparkContext.broadcast(definition)
     rows = docs.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
@@ -209,7 +210,8 @@ def write(docs: DataFrame, definition: str, path: str, end: int = END) -> None:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the segments alone."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the segments alone; no rows if there are none. Repeated documents
+    give repeated rows, each with a start of its own."""
     files = spark.read.schema(SEGMENTS).parquet(path)
     sizes = files.select("part", "segment", "n_ids")
     before = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
