@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.names import normalise_columns, normalise_name, quoted, unique_names
 from ..operators.shape import as_text, union_by_name
+from .blocks import block_columns
 from .json_scan import as_lines
 
 # Formats that can be scanned, by file suffix.
@@ -134,14 +135,11 @@ def read_files(
 
 def _headers(spark: SparkSession, paths: Sequence[str], encoding: str | None) -> dict[str, str]:
     """First line with text of each file that has one, by the path that Spark tells of it; one job however many files there are."""
-    text = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
-        F.monotonically_increasing_id().alias("line"),
-    )
+    text = spark.read.text(list(paths)).select(*block_columns(), "value")
     first = text.filter((F.col("start") == 0) & (F.trim("value") != "")).groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    # The text scan keeps a file's bytes; they are decoded as the delimited scan does it.
-    header = F.decode(F.col("header").cast("binary"), charset(encoding))
-    return {r["path"]: r["header"] for r in first.select("path", header.alias("header")).orderBy("path").collect()}
+    # The text scan keeps a file's bytes.
+    found = first.select("path", F.col("header").cast("binary").alias("header")).orderBy("path").collect()
+    return {r["path"]: bytes(r["header"]).decode(charset(encoding), "replace") for r in found}
 
 
 def header_names(header: str, delimiter: str = ";") -> list[str]:

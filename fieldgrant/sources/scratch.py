@@ -42,11 +42,14 @@ def materialise(df: DataFrame, name: str, compression: str | None = None) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of jobs whose results are written. It does so when the driver collects garbage, which may be much
+    later: a long chain of stages would hold all of them until then."""
+    spark._jvm.System.gc()
+
+
 def discard(table: DataFrame) -> None:
-    """Delete a materialised table that nothing will read again, and let Spark remove the shuffle files of finished jobs, which it does
-    when the JVM collects garbage: long chains of stages would hold all of them otherwise."""
+    """Delete a materialised table that nothing will read again."""
     from .snapshots import delete_paths
 
-    spark = table.sparkSession
-    delete_paths(spark, sorted({f.rsplit("/", 1)[0] for f in table.inputFiles()}))
-    spark._jvm.System.gc()
+    delete_paths(table.sparkSession, sorted({f.rsplit("/", 1)[0] for f in table.inputFiles()}))
