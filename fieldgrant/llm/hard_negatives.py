@@ -30,10 +30,10 @@ LOWEST, HIGHEST = -(1 << 62), 1 << 62
 
 
 def quantised(embedding: str = "embedding", by: int = 256) -> Column:
-    """floor(by x) of each component x, taken as double; null if the vector is null, empty or has null, non-finite or
-    too large components (their products would leave 64 bits)."""
+    """floor(by x) of each component x, taken as double; null if the vector is null, empty or has null or non-finite components, or
+    such of 2^25 or more (sums of their products would leave 64 bits)."""
     x = F.col(embedding)
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v.cast("double") * by) >= float(1 << 31)))
+    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v.cast("double") * by) >= float(1 << 25)))
     whole = F.transform(x, lambda v: F.floor(v.cast("double") * by).cast("long"))
     return F.when(~F.coalesce(bad, F.lit(True)) & (F.size(x) > 0), whole)
 
@@ -147,10 +147,10 @@ def _best(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _top(rows: DataFrame, asks: DataFrame, buckets: DataFrame, k: int, same: bool, limit: int) -> DataFrame:
+def _top(rows: DataFrame, buckets: DataFrame, asks: DataFrame, k: int, same: bool, limit: int) -> DataFrame:
     """(ask, window, vec_id, score, rank): the ``k`` best of ``rows`` (vec_id, label, x, cell, part, lead) in each window of each of ``asks``
-    (ask, label, x, length, windows), among rows of the same label or of all others. ``buckets``: cell (and label, if ``same``), parts
-    and the longest row's length of each bucket, and the part and cell of the first round."""
+    (ask, label, x, length, windows), among rows of the same label or of all others. ``buckets``: cell (and label, if ``same``), number of
+    parts and longest row's length of each, and whether the first round takes its first part."""
     n_asks = asks.count()
     groups = max(1, -(-n_asks // ASKS))
     rows = rows.withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
@@ -235,22 +235,18 @@ def mine(
 
     asks = rows.filter(anchors).select(F.col("vec_id").alias("ask"), "label", "x", "length")
     any_ = F.array(window(F.lit(0), F.lit(LOWEST), F.lit(HIGHEST)))
-    near = _top(*_swap(_bucketed(rows, ["label"], size), asks.withColumn("windows", any_)), positives, True, limit)
+    near = _top(*_bucketed(rows, ["label"], size), asks.withColumn("windows", any_), positives, True, limit)
     near = near.select("ask", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     # Positives of equal score have one window, named by the score.
     s = F.col("positive_score")
     wanted = near.filter(s >= 0).select("ask", window(s, F.expr(f"({low} * positive_score + 99) div 100"), F.expr(f"({high} * positive_score) div 100")).alias("w"))
     wanted = wanted.filter("w.least <= w.most").groupBy("ask").agg(F.sort_array(F.collect_set("w")).alias("windows"))
-    far = _top(*_swap(_bucketed(rows, [], size), materialise(asks.join(wanted, "ask"), "asks")), negatives, False, limit)
+    far = _top(*_bucketed(rows, [], size), materialise(asks.join(wanted, "ask"), "asks"), negatives, False, limit)
     far = far.select("ask", F.col("window").alias("positive_score"), "rank", F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
     both = near.join(far, ["ask", "positive_score"])
     return both.select(F.col("ask").alias("anchor_id"), "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
-def _swap(dealt: tuple[DataFrame, DataFrame], asks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return dealt[0], asks, dealt[1]
-
-
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors are the embeddings whose id is divisible by 50; labels of those divisible by 7 are moved on by one."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")

@@ -1,0 +1,182 @@
+"""The registered queries themselves, over tables of odd rows, against plain versions; the language kernel against one, too."""
+
+import hashlib
+import re
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from fieldgrant.llm import byte_bpe, language, line_dedup, registered
+
+from . import test_documents as plain
+from .test_searches import VECTORS, vector_rows
+from .test_tables import URLS, brute
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def tables(spark, odd, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("tables")
+    odd.write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, i % 2, 0) for i in range(30)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(URLS, "page_id long, url string, host string").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame(vector_rows(np.random.default_rng(2), 400), VECTORS).write.parquet(f"{folder}/embeddings.parquet")
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def nothing_at_all(spark, tables, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("empty")
+    for name in ("documents", "labels", "pages", "embeddings"):
+        spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def same(df, columns, want):
+    assert df.columns[: len(columns)] == columns
+    assert sorted((tuple(r) for r in df.select(*columns).collect()), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(registered.QUERIES))
+def test_empty_tables(spark, nothing_at_all, name):
+    assert registered.QUERIES[name](spark, nothing_at_all).count() == 0
+
+
+def test_op1(spark, tables):
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    want = [(i, *brute(u, rules)) for i, u, _ in URLS]
+    same(registered.QUERIES["op1_url_cascade"](spark, tables), ["page_id", "host", "path", "rule", "verdict"], want)
+
+
+def test_op2(spark, tables, odd, odd_rows):
+    gone = {(r["doc_id"], r["text_key"]): r["removed"] for r in line_dedup.removed_lines(odd).collect()}
+    found = registered.QUERIES["op2_line_dedup"](spark, tables)
+    assert found.columns[:4] == ["doc_id", "n_lines", "n_removed", "removed"]
+    rows = found.collect()
+    assert sorted(r.n_lines for r in rows) == sorted(len(t.split("\n")) if t is not None else 0 for _, t, *_ in odd_rows)
+    assert all(r.n_removed == len(r.removed) for r in rows) and gone
+    assert {tuple(r.removed) for r in rows if r.removed} == {tuple(g) for g in gone.values()}
+
+
+def test_op3(spark, tables, odd_rows):
+    found = registered.QUERIES["op3_quality_crf"](spark, tables)
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    same(found, ["doc_id", "n_words"], [(r[0], plain.brute_counts(r[1])[0]) for r in odd_rows])
+    same(found.select(*columns), columns, [(r[0], *plain.brute_counts(r[1])) for r in odd_rows])
+    assert found.filter("base_failed AND kept").count() == 0
+
+
+def test_op4(spark, tables, odd_rows):
+    want = [(r[0], *w, w[0] - w[1]) for r, w in zip(odd_rows, plain.brute_repeats([(r[1] or "").encode() for r in odd_rows]))]
+    same(registered.QUERIES["op4_suffix_dedup"](spark, tables), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept"], want)
+
+
+def test_op6(spark, tables, odd_rows):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = registered.QUERIES["op6_token_files"](spark, tables)
+    assert found.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    want = []
+    for i, t, *_ in odd_rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    same(found.select("doc_id", "n_tokens", "ids_crc32"), ["doc_id", "n_tokens", "ids_crc32"], want)
+    rows = sorted(found.collect(), key=lambda r: (r.start, r.n_tokens))
+    assert [r.start for r in rows] == list(np.cumsum([0] + [r.n_tokens for r in rows[:-1]]))
+    ids = [r.doc_id for r in rows if r.doc_id is not None]
+    assert ids == sorted(ids)
+
+
+def test_op7(spark, tables, odd_rows):
+    codes = [plain.brute_code(r[1]) for r in odd_rows]
+    pairs = [(a, b) for a, b in combinations(range(len(codes)), 2) if (codes[a] ^ codes[b]).bit_count() <= 4]
+    root, least = plain.components(len(codes), pairs), {}
+    for r, k in zip(odd_rows, root):
+        if r[0] is not None:
+            least[k] = min(least.get(k, r[0]), r[0])
+    want = [(r[0], f"{c:016x}", least.get(k)) for r, c, k in zip(odd_rows, codes, root)]
+    same(registered.QUERIES["op7_simhash"](spark, tables), ["doc_id", "fingerprint", "component_id"], want)
+
+
+def test_op8(spark, tables, odd_rows):
+    import tiktoken
+
+    ranks, pattern = byte_bpe.public_ranks()
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(ranks), special_tokens={})
+    want = []
+    for i, t, *_ in odd_rows:
+        ids = library.encode_ordinary(t or "")
+        want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    same(registered.QUERIES["op8_byte_bpe"](spark, tables), ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], want)
+
+
+def test_op9(spark, tables):
+    found = registered.QUERIES["op9_ann_tree"](spark, tables)
+    assert found.columns[:4] == ["query_id", "rank", "vec_id", "score"]
+    rows = vector_rows(np.random.default_rng(2), 400)
+    fine = {r[0]: np.array(r[1]) for r in rows if r[0] is not None and r[1] and len(r[1]) == 16 and all(v is not None and np.isfinite(v) for v in r[1]) and any(r[1])}
+    got, hits, total = {}, 0, 0
+    for r in found.collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    assert set(got) == {i for i in fine if i % 50 == 0}
+    for q, near in got.items():
+        cos = {i: float(v @ fine[q] / np.linalg.norm(v) / np.linalg.norm(fine[q])) for i, v in fine.items() if i != q}
+        best = sorted(cos.values(), reverse=True)[:5]
+        assert sorted(near) == [1, 2, 3, 4, 5] and all(s == pytest.approx(cos[i], abs=1e-9) for i, s in near.values())
+        hits += sum(s >= best[-1] - 1e-9 for _, s in near.values())
+        total += 5
+    assert hits >= 0.9 * total
+
+
+def test_op10(spark, tables, odd_rows):
+    found = registered.QUERIES["op10_language"](spark, tables)
+    want = [(r[0], r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0) for r in odd_rows]
+    same(found, ["doc_id", "held_out"], want)
+    learned = {r[2] for r in odd_rows if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 and r[1] is not None and r[2]}
+    rows = found.collect()
+    assert found.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+    assert {r.lang_pred for r in rows} <= learned | {"und"} and all(0 <= r.score <= 1 for r in rows)
+
+
+# --- the language kernel
+
+
+def grams(text):
+    """Different 1- to 3-grams of the letters, lower-cased, of words parted by gaps."""
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    padded = " " + " ".join(words) + " " if words else ""
+    return {padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)}
+
+
+def test_language_kernel_and_regression_against_a_plain_version():
+    """With n-grams as they are instead of hashed ones, kernels and scores are nearly the same."""
+    rng = np.random.default_rng(21)
+    pools = {"aa": "abcdefg", "bb": "defghij", "cc": "éüñöab"}
+    texts, langs = [], []
+    for i in range(90):
+        lang = sorted(pools)[i % 3]
+        texts.append(" ".join("".join(rng.choice(list(pools[lang]), rng.integers(2, 6))) for _ in range(12)).capitalize() + ".")
+        langs.append(lang)
+    sets = [grams(t) for t in texts]
+    exact = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in sets] for a in sets])
+    p, some = language.presence(texts)
+    unit = p / np.sqrt(p.sum(axis=1, keepdims=True))
+    assert some.all() and abs(unit @ unit.T - exact).max() < 0.06  # collisions of hashed n-grams
+    marks, ridge = np.arange(0, 60, 2), 1e-3
+    model = language.fit(p[:60], np.array(langs[:60]), marks, ridge)
+    # Kernel ridge regression on Nystroem features, in terms of the hashed kernel itself.
+    kernel = (unit @ unit.T).astype(np.float64)
+    k_mm, k_nm = kernel[np.ix_(marks, marks)], kernel[:60][:, marks]
+    target = (np.array(langs[:60])[:, None] == np.array(sorted(pools))[None, :]).astype(float)
+    alpha = np.linalg.solve(k_nm.T @ k_nm + ridge * 60 * k_mm, k_nm.T @ target)
+    want = kernel[60:][:, marks] @ alpha
+    names, scores = model.predict(texts[60:])
+    assert names == [sorted(pools)[i] for i in want.argmax(axis=1)] == langs[60:]
+    assert abs(scores - np.clip(want.max(axis=1), 0, 1)).max() < 1e-3
