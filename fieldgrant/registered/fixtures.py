@@ -46,10 +46,10 @@ def bronze(spark: SparkSession, sf_dir: str, labels: bool = False) -> DataFrame:
         scheme = F.element_at(
             F.array(*[F.lit(v) for v in LABELS]), (F.pmod("p_partkey", F.lit(len(LABELS))) + 1).cast("int")
         )
+    # Who ordered is found before the line items come in, whose many rows so are shuffled by order and by part only.
+    ordered = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        lineitem.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.col("c_name").alias("beneficiario"),

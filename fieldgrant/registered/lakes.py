@@ -14,7 +14,7 @@ from ..plans.ledger import Ledger
 from ..plans.profiles import ProfileStore
 from ..plans.silver import run_silver
 from ..sources import landing, sinks
-from ..sources.scratch import scratch_path
+from ..sources.scratch import materialise, scratch_path
 from ..spec import DATASETS, SILVER_GRAIN, FieldSpec
 from . import fixtures, payouts, shaping
 from .fixtures import LABELLED_BRONZE_SQL, silver_sql, table
@@ -30,6 +30,7 @@ def bronze_run_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{root}/landing/SPAIN/2023_LANDING"
     rows = fixtures.bronze(spark, sf_dir, labels=True).select(*COLUMNS, F.col("source_year").cast("int").alias("year"))
     rows = rows.withColumn("value", F.to_json(F.struct(*COLUMNS), {"pretty": "true", "ignoreNullFields": "false"}))
+    rows = materialise(rows.select("year", "value"), "landed", compression="zstd")
     rows.filter("year % 2 = 0").select("value").write.text(f"{folder}/documents", compression="none")
     odd = rows.filter("year % 2 = 1")
     part = F.spark_partition_id().alias("part"), F.floor(F.monotonically_increasing_id() % (1 << 33) / ROWS_PER_ARRAY).alias("array")

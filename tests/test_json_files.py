@@ -8,6 +8,7 @@ import pytest
 
 from fieldgrant.plans.bronze import run_bronze
 from fieldgrant.plans.ledger import Ledger
+from fieldgrant.sources import json_scan
 from fieldgrant.sources.json_scan import as_lines
 from fieldgrant.sources.readers import read_files, read_landed
 from fieldgrant.sources.sinks import read_bronze_dataset
@@ -129,3 +130,34 @@ def test_records_of_one_array_are_read_by_many_tasks(spark, tmp_path):
         assert spark.read.text(out).rdd.getNumPartitions() > 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_scratch_holds_records_not_lines(spark, tmp_path, monkeypatch):
+    """What is kept between the steps grows with records and blocks; a row per line made long runs of it."""
+    path = tmp_path / "large.json"
+    path.write_text("\n".join(json.dumps({"id": i, "list": list(range(20))}, indent=2) for i in range(100)))
+    held, kept = [], json_scan.materialise
+    monkeypatch.setattr(json_scan, "materialise", lambda df, *args: held.append(kept(df, *args)) or held[-1])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        (out,) = as_lines(spark, [str(path)])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.id for r in spark.read.json(out).collect()) == list(range(100))
+    assert held and all(t.count() < 200 for t in held)
+
+
+@pytest.mark.parametrize("split", ["128m", "16"])
+def test_text_between_records_of_an_array(spark, tmp_path, split):
+    """A list among records is told; before, it was taken for the end of the record ahead of it and lost."""
+    (tmp_path / "x.json").write_text('[{"a":\n1},\n[7,\n8, 9],\n{"a": 2}, "s[{", {"a":\n{"a": 3}}]\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        (out,) = as_lines(spark, [str(tmp_path / "x.json")])
+        lines = [r.value for r in spark.read.text(out).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    records = [json.loads(v)["a"] for v in lines if v.startswith("{")]
+    assert sorted(map(str, records)) == ["1", "2", "{'a': 3}"]
+    others = "".join(v for v in lines if not v.startswith("{"))
+    assert all(c in others for c in ("7", "8", "9", '"s[{"'))
