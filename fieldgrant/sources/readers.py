@@ -133,12 +133,19 @@ def read_files(
     raise ValueError(f"cannot scan files of type {suffix!r}")
 
 
+#: Files up to which the places of columns are sent to all tasks: one row per file.
+BROADCAST_FILES = 200_000
+
+
 def _headers(spark: SparkSession, paths: Sequence[str], encoding: str | None) -> dict[str, str]:
-    """First line with text of each file that has one, by the path that Spark tells of it; one job however many files there are."""
-    text = spark.read.text(list(paths)).select(*block_columns(), "value")
-    first = text.filter((F.col("start") == 0) & (F.trim("value") != "")).groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    """First line with text of each file that has one, by the path that Spark tells of it; one job however many files there are.
+
+    The lines' numbers are compared first and only the lines found are taken then: a minimum of texts would sort all lines of the blocks."""
+    text = spark.read.text(list(paths)).select(*block_columns(), "value").filter((F.col("start") == 0) & (F.trim("value") != ""))
+    first = text.groupBy("path").agg(F.min("line").alias("line"))
+    header = text.join(F.broadcast(first) if len(paths) <= BROADCAST_FILES else first, ["path", "line"])
     # The text scan keeps a file's bytes.
-    found = first.select("path", F.col("header").cast("binary").alias("header")).orderBy("path").collect()
+    found = header.select("path", F.col("value").cast("binary").alias("header")).orderBy("path").collect()
     return {r["path"]: bytes(r["header"]).decode(charset(encoding), "replace") for r in found}
 
 
@@ -155,10 +162,6 @@ def header_names(header: str, delimiter: str = ";") -> list[str]:
     return unique_names([normalise_name(n) for n in safe])
 
 
-#: Files up to which the places of columns are sent to all tasks: one row per file.
-BROADCAST_FILES = 200_000
-
-
 def read_headed(spark: SparkSession, paths: Paths, delimiter: str = ";", encoding: str | None = None) -> DataFrame:
     """Delimited files, each with a header of its own, as one frame of all their columns (normalised names, NULL where a file lacks one).
 
