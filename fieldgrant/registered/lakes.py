@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.bronze import run_bronze
-from ..plans.bucketed import bucketed_master, write_layout
+from ..plans.bucketed import bucketed_master, buckets_for, write_layout
 from ..plans.incremental import MasterTable
 from ..plans.ledger import Ledger
 from ..plans.profiles import ProfileStore
@@ -18,7 +18,7 @@ from ..sources.scratch import materialise, scratch_path
 from ..spec import DATASETS, SILVER_GRAIN, FieldSpec
 from . import fixtures, payouts, shaping
 from .fixtures import LABELLED_BRONZE_SQL, silver_sql, table
-from .runs import _LANDED_SQL, COLUMNS, _bronze, _done
+from .runs import _LANDED_SQL, COLUMNS, _bronze, _done, _landable
 
 #: Rows of a landed array: a document's text is made by one task.
 ROWS_PER_ARRAY = 10_000
@@ -60,7 +60,7 @@ def _rename_json(spark: SparkSession, folder: str) -> None:
 def bronze_run_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with six different headers, as one scan."""
     root = scratch_path(spark, "run")
-    rows = fixtures.bronze(spark, sf_dir, labels=True)
+    rows = _landable(spark, sf_dir)
     for n in range(6):
         own = rows.filter(F.col("source_year").cast("int") % 6 == n)
         own = own.select(*COLUMNS[n:], *COLUMNS[:n], F.lit(str(n)).alias(f"Only in-{n}"))
@@ -124,14 +124,15 @@ def grain_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def master_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master table, and its macro and pivot parts, from one layout by beneficiary."""
     name = f"layout_{uuid.uuid4().hex}"
-    write_layout(fixtures.silver(spark, sf_dir, labels=True), name, scratch_path(spark, "layout"), 8)
+    silver = materialise(fixtures.silver(spark, sf_dir, labels=True), "silver")
+    write_layout(silver, name, scratch_path(spark, "layout"), buckets_for(silver))
     return bucketed_master(spark, name, join=True)
 
 
 def master_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master table after three datasets were added with wrong rows, two of them replaced, and a fourth taken out."""
     table_ = MasterTable(spark, scratch_path(spark, "master"))
-    silver = fixtures.silver(spark, sf_dir, labels=True)
+    silver = materialise(fixtures.silver(spark, sf_dir, labels=True), "silver")
     of = {str(n): silver.filter(F.pmod(F.col("year").cast("int"), F.lit(3)) == n) for n in range(3)}
     table_.replace("0", of["0"])
     table_.replace("1", of["2"].withColumn("beneficiary", F.concat("beneficiary", F.lit(" (old)"))))

@@ -336,3 +336,49 @@ def test_header_names_are_those_of_the_scan(spark, tmp_path):
             assert readers.header_names(header) == want
     both = readers.read_headed(spark, [str(tmp_path / "0.csv"), str(tmp_path / "2.csv")])
     assert both.count() == 2
+
+
+# --- what a task holds
+
+
+def test_buckets_follow_the_table(spark, silver):
+    assert bucketed.buckets_for(silver) == 8
+    assert bucketed.buckets_for(silver, rows=100) == 30
+    assert bucketed.buckets_for(silver.limit(0)) == 8
+
+
+def test_headers_are_found_without_sorting_lines(spark, tmp_path, monkeypatch):
+    for name, header in (("a", "\n \nX;Y"), ("b", "Z;Ñ"), ("c", "\n")):
+        (tmp_path / f"{name}.csv").write_bytes(f"{header}\n1;2\n3;4\n".encode("latin-1") if name != "c" else b"\n")
+    plans = []
+    kept = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: plans.append(plan(df)) or kept(df))
+    found = readers._headers(spark, [str(tmp_path / f"{n}.csv") for n in "abc"], "latin-1")
+    assert sorted(found.values()) == ["X;Y", "Z;Ñ"]
+    assert plans and "SortAggregate" not in "".join(plans)
+
+
+def test_one_dataset_is_written_without_a_sort(spark, tmp_path, silver):
+    """The write's job: rows of one dataset stay as they come; several datasets are still parted, and a dataset replaced alone."""
+    path, rows_ = str(tmp_path / "silver"), silver.select("beneficiary", "country", "year")
+    before = spark.conf.get(sinks._WRITERS, None)
+    sinks.write_partitioned(rows_, path, sinks.SILVER_PARTITIONS)
+    sinks.write_partitioned(rows_.filter("year = '2021'").limit(5), path, sinks.SILVER_PARTITIONS)
+    assert spark.conf.get(sinks._WRITERS, None) == before
+    held = {r["year"]: r["count"] for r in spark.read.parquet(path).groupBy("year").count().collect()}
+    assert held == {2020: 1_000, 2021: 5, 2022: 1_000}
+    with sinks._unsorted(spark):
+        assert int(spark.conf.get(sinks._WRITERS)) >= 1
+
+
+@pytest.mark.parametrize("module, query", [("runs", "relanded_empty"), ("lakes", "bronze_run_headers")])
+def test_rows_landed_in_parts_are_computed_once(spark, monkeypatch, module, query):
+    """The joins behind the landed rows are one computation, whatever number of files they are dealt to."""
+    from fieldgrant.registered import QUERIES, lakes, runs
+
+    computed, joined = [], runs.fixtures.bronze
+    monkeypatch.setattr(runs, "materialise", lambda df, *args: computed.append(df) or spark.createDataFrame(df.limit(50).collect(), df.schema))
+    monkeypatch.setattr(runs.fixtures, "bronze", lambda *args, **kw: joined(*args, **kw))
+    assert {"runs": runs, "lakes": lakes}[module].QUERIES[query] is QUERIES[query]
+    assert QUERIES[query](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(computed) == 1
