@@ -36,25 +36,33 @@ def inventory(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUF
     )
 
 
-def file_fingerprints(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUFFIXES) -> DataFrame:
-    """MD5 of each data file's bytes. Spark holds one file per row, at most 2 GB each; ``content_fingerprints`` has no such limit."""
-    return _landed(spark, root, suffixes).select(
-        "path", "file_name", "length", F.md5("content").alias("fingerprint")
-    )
+#: Bytes up to which a file is digested whole, by one task.
+WHOLE_FILE = 1 << 30
+
+
+def file_fingerprints(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUFFIXES, whole: int = WHOLE_FILE) -> DataFrame:
+    """MD5 of each data file's bytes; of files of more than ``whole`` bytes, the digest that ``content_fingerprints`` gives.
+
+    An MD5 takes a file's bytes one after the other, and Spark holds a file as one row of at most 2 GB, so only smaller files are read that way."""
+    landed = _landed(spark, root, suffixes)
+    small = landed.filter(F.col("length") <= whole).select("path", "file_name", "length", F.md5("content").alias("fingerprint"))
+    if landed.filter(F.col("length") > whole).select("path").isEmpty():
+        return small
+    return small.unionByName(content_fingerprints(spark, root, suffixes, larger=whole))
 
 
-def content_fingerprints(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUFFIXES) -> DataFrame:
-    """A digest of each data file's bytes, for files of any size: (path, file_name, length, fingerprint).
+def content_fingerprints(spark: SparkSession, root: str, suffixes: Sequence[str] = DATA_SUFFIXES, larger: int = -1) -> DataFrame:
+    """A digest of each data file's bytes, for files of any size (of more than ``larger`` bytes): (path, file_name, length, fingerprint).
 
     A file is read in as many tasks as Spark splits it into, piece by piece (a piece ends with a line feed). Each piece's MD5 is digested again
     with the piece's place in the file, and these digests are added up, so the result doesn't depend on how the file was split. Only
     digests are shuffled. Files compressed by line (gz, bz2) are read as their content; a piece is at most 2 GB.
     """
-    files = inventory(spark, root, suffixes)
+    files = inventory(spark, root, suffixes).filter(F.col("length") > larger)
     text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(root)
     wanted = rf"(?i)^.+\.({'|'.join(suffixes)})(\.[^/]*)?$"
     piece = F.col("value").cast("binary")
-    rows = text.filter(F.col("_metadata.file_name").rlike(wanted))
+    rows = text.filter(F.col("_metadata.file_name").rlike(wanted) & (F.col("_metadata.file_size") > larger))
     rows = rows.select(*block_columns(), F.md5(piece).alias("digest"), (F.octet_length(piece) + 1).cast("long").alias("size"))
     before = earlier(rows.groupBy(*BLOCK).agg(F.sum("size").alias("n")), F.sum("n"), "before")
     place = F.coalesce("before", F.lit(0)) + F.coalesce(F.sum("size").over(up_to("line", last=-1)), F.lit(0))

@@ -129,3 +129,20 @@ def test_scratch_is_below_the_session_folder(spark):
     assert path.startswith(root) and path != scratch.scratch_path(spark, "x")
     df = spark.range(3).withColumn("t", F.lit("a"))
     assert rows(scratch.materialise(df, "kept")) == rows(df)
+
+
+def test_large_files_are_digested_in_pieces(spark, tmp_path):
+    """Files too large for one task get the digest of their pieces, with the same columns; the others keep their MD5."""
+    import hashlib
+
+    texts = {"small.csv": b"a;b\n", "large.csv": b"line\n" * 200 + b"\x00\xff end", "other.txt": b"x"}
+    for name, data in texts.items():
+        (tmp_path / name).write_bytes(data)
+    found = landing.file_fingerprints(spark, str(tmp_path), whole=100)
+    assert found.columns == ["path", "file_name", "length", "fingerprint"]
+    told = {r.file_name: (r.length, r.fingerprint) for r in found.collect()}
+    pieces = {r.file_name: r.fingerprint for r in landing.content_fingerprints(spark, str(tmp_path)).collect()}
+    md5 = {n: hashlib.md5(d).hexdigest() for n, d in texts.items()}
+    assert told == {n: (len(d), pieces[n] if n == "large.csv" else md5[n]) for n, d in texts.items()}
+    whole = landing.file_fingerprints(spark, str(tmp_path))
+    assert {r.file_name: r.fingerprint for r in whole.collect()} == md5
