@@ -293,6 +293,54 @@ def test_line_dedup_by_edit_similarity_alone(spark, odd_rows, monkeypatch, hot):
     assert found == want
 
 
+def test_unlike_long_lines_are_told_apart_before_they_are_compared(spark, monkeypatch):
+    """Lines of 50 to 220 words without a word in common: their codes must tell them apart, or all pairs that meet are shuffled and compared. Near
+    copies of them, also of lengths about WIDE, stay possible."""
+    sizes = [50, 60, *range(line_dedup.WIDE - 5, line_dedup.WIDE + 6), 100, 120, 150, 180, 200, 220]
+    lines = [" ".join(f"w{k}x{n}x{i}" for i in range(n)) for k in range(2) for n in sizes]
+    near = [line.replace(f"w{k % 2}", "changed ", 1) for k, line in enumerate(lines)]
+    docs = spark.createDataFrame(list(enumerate(lines + near)), "doc_id long, text string")
+    rows = line_dedup.marked(docs).select("doc_id", "code").cache()
+    x, y = rows.alias("x"), rows.alias("y")
+    both = x.join(y, F.col("x.doc_id") < F.col("y.doc_id")).filter(line_dedup._possible("x.code", "y.code", line_dedup.SIMILARITY))
+    found = {(r[0], r[1]) for r in both.select("x.doc_id", "y.doc_id").collect()}
+    own = {(i, i + len(lines)) for i in range(len(lines))}
+    assert own <= found
+    assert len(found - own) <= 10
+    rows.unpersist()
+
+
+def test_line_search_shuffles_a_part_of_the_buckets_at_a_time(spark, monkeypatch):
+    """The search for neighbours goes through the buckets in turns, whose results are stored one by one."""
+    names, stored = [], line_dedup._stored
+    monkeypatch.setattr(line_dedup, "_stored", lambda df, name: names.append(name) or stored(df, name))
+    docs = spark.createDataFrame([(i, f"alpha beta gamma delta epsilon zeta eta {i % 2} theta iota") for i in range(4)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in line_dedup.removed_lines(docs).collect()) == [1, 2, 3]
+    assert names.count("near") == line_dedup.TURNS > 1
+
+
+def test_line_similarity_in_words(spark):
+    """The cheap tests before the last count of edits decide as it does."""
+    base = [f"w{i}" for i in range(40)]
+    rows = []
+    for n in range(0, 14):
+        rows += [(" ".join(base), " ".join([f"new{i}" for i in range(n)] + base[n:])), (" ".join(base), " ".join(base[n:]))]
+        rows += [(" ".join(base), " ".join(base[n:] + base[:n])), (" ".join(base[:10] * 4), " ".join(base[:10] * 3 + base[10 - n % 10 :]))]
+    found = spark.createDataFrame(rows, "a string, b string").select("a", "b", line_dedup.similar(line_dedup.signs(F.col("a")), line_dedup.signs(F.col("b"))).alias("s"))
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    told = {(r["a"], r["b"]): r["s"] for r in found.collect()}
+    want = {(a, b): edits(a.split(), b.split()) <= 0.2 * max(len(a.split()), len(b.split())) + 1e-9 for a, b in rows}
+    assert told == want and {True, False} == set(want.values())
+
+
 def test_line_dedup_plan_has_no_python(spark, odd):
     plan = line_dedup.occurrences(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
