@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,13 +19,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Pieces whose ids a worker remembers (the first ones met, so nearly all frequent ones), and pairs of tokens whose
-#: border it has judged.
+#: Pieces whose ids a worker remembers (the first ones met, so nearly all frequent ones), as many beginnings of pieces, and pairs of tokens
+#: whose border it has judged.
 CACHE_PIECES = 600_000
 CACHE_PAIRS = 600_000
 
 #: The pattern for which white space parts pieces as ``pieces`` uses; others are matched over the whole text.
 SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Marks that this pattern parts from the letters before them, where a word ends with one of them.
+_MARKS = frozenset('.,;:!?)"')
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -52,6 +54,7 @@ class PrefixBpe:
                 self.reached[token] = i
         self.judged: dict[tuple[int, int], bool] = {}
         self.edges: tuple[dict, dict] = ({}, {})
+        self.heads: dict[bytes, int] = {}  # last tokens of beginnings of pieces
 
     def _halves(self, token: bytes, limit: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``, found by merging its bytes by rank."""
@@ -111,9 +114,19 @@ class PrefixBpe:
         raise ValueError("a byte has no token")
 
     def extend(self, data: bytes, last: list[int], start: int) -> None:
-        """Fill ``last`` (token of each prefix) for the prefixes of ``data`` longer than ``start``."""
-        for end in range(start + 1, len(data) + 1):
-            last.append(self.last_of(data, last, end))
+        """Fill ``last`` (token of each prefix) for the prefixes of ``data`` longer than ``start``. A prefix has the same last token in all
+        pieces that begin with it, so those of short ones are remembered."""
+        heads, last_of, known = self.heads, self.last_of, min(len(data), self.longest)
+        for end in range(start + 1, known + 1):
+            head = data[:end]
+            token = heads.get(head)
+            if token is None:
+                token = last_of(data, last, end)
+                if len(heads) < CACHE_PIECES:
+                    heads[head] = token
+            last.append(token)
+        for end in range(max(start, known) + 1, len(data) + 1):
+            last.append(last_of(data, last, end))
 
     def read(self, last: list[int], end: int) -> list[int]:
         """Encoding of the prefix of length ``end``."""
@@ -180,35 +193,46 @@ class TextEncoder:
         self.find = regex.compile(pattern).findall
         self.spaced = pattern == SPACED_PATTERN
         self.names = {i: str(i) for i in self.bpe.bytes}
-        self.first: dict[str, tuple[int, ...]] = {}
-        self.later: dict[str, tuple[int, ...]] = {}
+        # Ids as bytes, four each: Python's garbage collector would go through millions of tuples again and again.
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
         self.feed = self._pieces("\n")
 
-    def _pieces(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self._piece(p) for p in self.find(text)))
+    def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self._piece, self.find(text)))
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         spaced = piece[0] == " " and len(piece) > 1
         cache, key = (self.later, piece[1:]) if spaced else (self.first, piece)
         found = cache.get(key)
         if found is None:
-            found = tuple(self.bpe.piece(piece.encode()))
+            ids = self.bpe.piece(piece.encode())
+            found = struct.pack(f"={len(ids)}i", *ids)
             if len(cache) < CACHE_PIECES:
                 cache[key] = found
         return found
 
-    def _word(self, word: str, space: str) -> tuple[int, ...]:
+    def _word(self, word: str, space: str) -> bytes:
         if word.isalpha():
             return self._piece(space + word)
-        found = self._pieces(space + word)
+        if word[-1] in _MARKS and word[:-1].isalpha():
+            found = self._piece(space + word[:-1]) + self._piece(word[-1])
+        else:
+            found = self._pieces(space + word)
         cache = self.later if space else self.first
         if len(word) < 64 and len(cache) < CACHE_PIECES:
             cache[word] = found
         return found
 
     def encode(self, text: str) -> list[int]:
+        return self.ids(text).tolist()
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(self._packed(text), np.int32)
+
+    def _packed(self, text: str) -> bytes:
         if not self.spaced:
-            return list(self._pieces(text))
+            return self._pieces(text)
         out = []
         for n, line in enumerate(text.split("\n")):
             if n:
@@ -221,10 +245,10 @@ class TextEncoder:
                     if p is None:
                         w = words[i]
                         if not w or w[0].isspace() or w[-1].isspace():
-                            return list(self._pieces(text))
+                            return self._pieces(text)
                         parts[i] = self._word(w, " " if i else "")
             out += parts
-        return list(chain.from_iterable(out))
+        return b"".join(out)
 
 
 _ENCODERS: dict[int, TextEncoder] = {}
@@ -249,7 +273,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> D
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = text_encoder(sent.value, pattern)
         for b in batches:
-            yield pd.Series([np.array(encoder.encode(t or ""), np.int32) for t in b])
+            yield pd.Series([encoder.ids(t or "") for t in b])
 
     return docs.withColumn("ids", ids.asNondeterministic()(F.col(text)))
 
@@ -279,7 +303,7 @@ def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
         for b in batches:
             for start in range(0, len(b), 200):
                 part = b.iloc[start : start + 200]
-                ids = [np.array(encoder.encode(t or ""), np.int32) for t in part["text"]]
+                ids = [encoder.ids(t or "") for t in part["text"]]
                 decoded = [encoder.bpe.decode(x.tolist()) for x in ids]
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "ids": ids, "decoded": decoded})
 

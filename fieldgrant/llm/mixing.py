@@ -30,6 +30,8 @@ MAX_SOURCES = 50_000
 SHARDS = 16
 #: Words of a shard that one task shuffles; larger shards are dealt to several tasks first.
 PART_WORDS = 50_000_000
+#: Words of the runs that a part is cut into, in its order; a task of this or a later step takes one, so that no core waits for one large part.
+SLICE_WORDS = 2_000_000
 
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -73,11 +75,12 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int = 0) -> np.ndarray:
 
 @dataclass
 class Plan:
-    """``sources``: one row per source, small enough to send out; ``shards``: how many, each of ``parts`` parts."""
+    """``sources``: one row per source, small enough to send out; ``shards``: how many, each of ``parts`` parts of ``slices`` runs."""
 
     sources: DataFrame
     shards: int
     parts: int
+    slices: int
 
 
 def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
@@ -134,7 +137,8 @@ def plan_mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> Plan:
         for i, r in enumerate(rows)
     ]
     schema = "_source string, source_size long, target double, passes int, cut int, last long, ends array<long>"
-    return Plan(spark.createDataFrame(full, schema), shards, 1 + int(sum(wanted) / (shards * PART_WORDS)))
+    parts = 1 + int(sum(wanted) / (shards * PART_WORDS))
+    return Plan(spark.createDataFrame(full, schema), shards, parts, 1 + int(sum(wanted) / (shards * parts * SLICE_WORDS)))
 
 
 def with_draws(docs: DataFrame, plan: Plan) -> DataFrame:
@@ -170,7 +174,11 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     drawn = drawn.select("_row", "_h", F.explode("_draws").alias("_draw"))
     order = F.xxhash64(F.lit(seed), "_h", F.floor(F.col("_draw.index") / BLOCKS) + 1)
     drawn = drawn.withColumn("_order", order).withColumn("_part", F.pmod("_order", F.lit(plan.parts))).withColumn("_shard", F.col("_draw.shard"))
-    return drawn.repartition("_shard", "_part").sortWithinPartitions("_shard", "_part", "_order").select("_row.*")
+    # Where in the range of all hashes the order lies, in as many steps as there are slices: a part's slices follow each other.
+    upper = F.shiftrightunsigned(F.col("_order").bitwiseXOR(F.lit(-(1 << 63))), 33)
+    number = (F.col("_shard") * plan.parts + F.col("_part")) * plan.slices + F.shiftright(upper * plan.slices, 31)
+    dealt = drawn.repartitionById(plan.shards * plan.parts * plan.slices, number.cast("int"))
+    return dealt.sortWithinPartitions("_shard", "_part", "_order").select("_row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -501,6 +501,18 @@ def test_mixing_against_a_plain_version(spark, odd, tmp_path, monkeypatch, block
     assert mixed == Counter({k: n for k, n in sum((Counter({i: len(s)}) for i, *_, s in want), Counter()).items() if n})
 
 
+def test_mix_is_dealt_to_tasks_in_even_runs(spark, monkeypatch):
+    """No task takes a shard whole, and the shards' order is the one that they have uncut."""
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 10).alias("text"), F.lit("s").alias("source"))
+    whole = [[r.doc_id for r in p] for p in mixing.mix(rows).rdd.glom().collect()]
+    monkeypatch.setattr(mixing, "SLICE_WORDS", 1000)
+    parts = [[r.doc_id for r in p] for p in mixing.mix(rows).rdd.glom().collect()]
+    slices = len(parts) // mixing.SHARDS
+    assert slices > 1 and len(whole) == mixing.SHARDS
+    assert [sum(parts[i * slices : (i + 1) * slices], []) for i in range(mixing.SHARDS)] == whole
+    assert max(map(len, parts)) * 10 < 2 * 1000
+
+
 def test_shards_draw_disjoint_blocks(spark, odd):
     docs = mixing._keyed(odd.repartition(4), F.col("doc_id"))
     plan = mixing.plan_mix(docs, 5)
@@ -564,6 +576,20 @@ def test_byte_bpe_equals_library(spark, odd, odd_rows, nothing):
     assert byte_bpe.digests(nothing, ranks, pattern).count() == 0
 
 
+def test_byte_bpe_keeps_ids_as_bytes_and_beginnings_of_pieces():
+    """Word by word as by the pattern over the whole text; what is remembered is nothing that Python's garbage collector goes through."""
+    ranks, pattern = byte_bpe.public_ranks()
+    encoder = byte_bpe.TextEncoder(byte_bpe.read_ranks(ranks), pattern)
+    odd = ["a's", "don't,", "x'", "é.", "two", "日本。", "ⅷ.", "ª,", "ok..", "3rd,", "a)b", '"q"', "(p)", "A.\n\nB!", "unforeseenly,", "unforeseeable."]
+    rng = random.Random(3)
+    for _ in range(200):
+        text = " ".join(rng.choice(odd) for _ in range(20))
+        want = [i for p in encoder.find(text) for i in byte_bpe.PrefixBpe.piece(encoder.bpe, p.encode())]
+        assert encoder.encode(text) == want and encoder.ids(text).tolist() == want
+    assert all(isinstance(v, bytes) for v in (*encoder.first.values(), *encoder.later.values()))
+    assert encoder.bpe.heads
+
+
 def test_byte_bpe_appends_and_edits():
     import random
 
