@@ -830,3 +830,41 @@ def test_line_fingerprints_of_short_and_long_lines(spark):
         hashes = [xxhash.xxh64_intdigest(w, 42) for w in set(lines[r["line"]].split())]
         expected = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
         assert r["code"] & (2**64 - 1) == expected
+
+
+def test_lines_that_repeat_a_few_words_are_told_apart(spark):
+    """Words that come an even number of times leave no parity; counters tell such lines apart, and part none that are similar."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdeinorst") for _ in range(6))
+    bases = [[word() for _ in range(15)] * k for k in (6, 6, 6, 10, 10, 10, 32, 32)]
+
+    def edited(words):
+        out, left = list(words), len(words) // 5
+        for _ in range(rng.randrange(left)):
+            at, kind = rng.randrange(len(out)), rng.randrange(3)
+            out[at : at + (kind > 0)] = [word()] if kind < 2 else []
+        return out
+
+    lines = [" ".join(x) for b in bases for x in (b, *(edited(b) for _ in range(6)))]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    codes = line_dedup.marked(docs).select("doc_id", "code")
+    one, two = (codes.select(F.col("doc_id").alias(c), F.col("code").alias(f"code_{c}")) for c in "ab")
+    told = [f("code_a", "code_b", line_dedup.SIMILARITY).alias(n) for f, n in ((line_dedup._possible, "possible"), (line_dedup._alike, "alike"))]
+    both = one.join(two, F.col("a") < F.col("b")).select("a", "b", *told).collect()
+    signs = spark.createDataFrame(list(enumerate(lines)), "id long, norm string").select("id", line_dedup.signs(F.col("norm")).alias("s"))
+    x, y = signs.toDF("a", "x"), signs.toDF("b", "y")
+    linked = {(r.a, r.b) for r in x.join(y, F.col("a") < F.col("b")).filter(line_dedup.similar(F.col("x"), F.col("y"))).collect()}
+    assert linked and all(r.alike for r in both if (r.a, r.b) in linked)
+    plain = [r for r in both if r.a % 7 == 0 and r.b % 7 == 0 and len(lines[r.a].split()) == len(lines[r.b].split())]
+    assert len(plain) == 7 and all(r.possible for r in plain) and not any(r.alike for r in plain)
+
+
+def test_groups_grow_as_edges_come(spark):
+    """Components of edges that come in two parts are those of all edges."""
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    frame = lambda some: spark.createDataFrame(some, "a long, b long")
+    first = line_dedup._joined(None, frame(edges[:140]))
+    both, whole = line_dedup._joined(first, frame(edges[140:])), connected(frame(edges))
+    groups = lambda found: sorted(sorted(r[1]) for r in found.groupBy("root").agg(F.collect_set("node")).collect())
+    assert groups(both) == groups(whole) and both.count() == whole.count()
