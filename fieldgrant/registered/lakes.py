@@ -14,7 +14,7 @@ from ..plans.ledger import Ledger
 from ..plans.profiles import ProfileStore
 from ..plans.silver import run_silver
 from ..sources import landing, sinks
-from ..sources.scratch import materialise, scratch_path
+from ..sources.scratch import discard, materialise, release, scratch_path
 from ..spec import DATASETS, SILVER_GRAIN, FieldSpec
 from . import fixtures, payouts, shaping
 from .fixtures import LABELLED_BRONZE_SQL, silver_sql, table
@@ -31,11 +31,17 @@ def bronze_run_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.bronze(spark, sf_dir, labels=True).select(*COLUMNS, F.col("source_year").cast("int").alias("year"))
     rows = rows.withColumn("value", F.to_json(F.struct(*COLUMNS), {"pretty": "true", "ignoreNullFields": "false"}))
     rows = materialise(rows.select("year", "value"), "landed", compression="zstd")
+    release(spark)
     rows.filter("year % 2 = 0").select("value").write.text(f"{folder}/documents", compression="none")
     odd = rows.filter("year % 2 = 1")
-    part = F.spark_partition_id().alias("part"), F.floor(F.monotonically_increasing_id() % (1 << 33) / ROWS_PER_ARRAY).alias("array")
-    listed = odd.select(*part, "value").groupBy("part", "array").agg(F.array_join(F.collect_list("value"), ",\n").alias("value"))
-    listed.select(F.concat(F.lit("[\n"), "value", F.lit("\n]")).alias("value")).write.text(f"{folder}/arrays")
+    # The documents of a task in arrays of so many, line by line; the number of each task's last one tells where its last array ends.
+    odd = odd.select(F.spark_partition_id().alias("part"), (F.monotonically_increasing_id() % (1 << 33)).alias("at"), "value")
+    ends = odd.groupBy("part").agg(F.max("at").alias("last"))
+    within = F.col("at") % ROWS_PER_ARRAY
+    opens, closes = F.when(within == 0, "[\n").otherwise(""), F.when((within == ROWS_PER_ARRAY - 1) | (F.col("at") == F.col("last")), "\n]").otherwise(",")
+    odd.join(F.broadcast(ends), "part").select(F.concat(opens, "value", closes).alias("value")).write.text(f"{folder}/arrays")
+    discard(rows)
+    release(spark)
     # Text files are landed as JSON files are named.
     ledger = Ledger(spark, f"{root}/ledger")
     _rename_json(spark, folder)

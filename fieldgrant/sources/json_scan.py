@@ -14,6 +14,7 @@ import re
 import sys
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
 import numpy as np
@@ -24,7 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .blocks import block_columns
-from .scratch import materialise, scratch_path
+from .scratch import materialise, scratch_path, unsorted
+from .snapshots import delete_paths, path_exists
 
 #: A string, or what a line holds of it; and this, a bracket, or text between these. Nothing in them backtracks.
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"?+'
@@ -150,6 +152,8 @@ def _states(rows: DataFrame) -> DataFrame:
 #: Kinds of what the cut gives: records and text that belongs to none; what a block holds of a record that an earlier one
 #: begins, and of one that it begins and a later one ends.
 _WHOLE, _HEAD, _TAIL = 0, 1, 2
+#: How records are compressed until they are read; a file of them is what one task cut.
+_CODEC = "lz4"
 
 
 def _between(text: bytes, inside: bool, ends: Sequence[bool]) -> Iterator[str]:
@@ -228,33 +232,45 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rest()
 
 
-def _records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(value) of each record, and of each text that belongs to none. Of files whose brackets don't close: of each line."""
+def _records(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A folder of text files, compressed, with a line for each record and each text that belongs to none. Of files whose brackets don't close:
+    for each of their lines.
+
+    Records that lie in one block are written there as they are cut, so scratch holds them once; what blocks' edges part is written beside
+    them, put together and added."""
+    out = scratch_path(spark, "records")
+    whole, edges = f"{out}/kind={_WHOLE}", [f"{out}/kind={kind}" for kind in (_HEAD, _TAIL)]
     rows = _text(spark, paths)
     states = _states(rows)
     # One short row per block goes to all tasks, which so read their lines in order.
     closed = _numbered(rows).join(F.broadcast(states.filter("closed").drop("closed")), ["file", "start"])
     cut = closed.select("file", "start", "inside", "depth", "level", "value").mapInArrow(_cut, "file long, start long, kind long, value string")
-    cut = materialise(cut, "cut")
-    order = Window.partitionBy("file").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = cut.filter(F.col("kind") != _WHOLE).withColumn("record", F.count_if(F.col("kind") == _TAIL).over(order))
-    pieces = F.array_sort(F.collect_list(F.struct("start", "kind", "value")))
-    joined = parts.groupBy("file", "record").agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "").alias("value"))
-    found = cut.filter(F.col("kind") == _WHOLE).select("value").union(joined.select("value"))
+    told = F.when(F.col("kind") == _WHOLE, F.col("value")).otherwise(F.concat_ws(" ", "file", "start", "value"))
+    with unsorted(spark, 3):
+        cut.select(told.alias("value"), "kind").write.partitionBy("kind").text(out, compression=_CODEC)
+    parts = [spark.read.text(e).select(F.split("value", " ", 3).alias("v"), F.lit(k).alias("kind")) for k, e in zip((_HEAD, _TAIL), edges) if path_exists(spark, e)]
     unclosed = states.filter("NOT closed").select("file").distinct()
-    if unclosed.isEmpty():
-        return found
-    line = F.col("value")
-    alone = _numbered(rows).join(unclosed, "file", "left_semi")
-    return found.union(alone.select(F.when(_single(line), line).otherwise(F.concat(F.lit(_BROKEN), line)).alias("value")))
+    more = []
+    if parts:
+        order = Window.partitionBy("file").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        parts = reduce(DataFrame.union, parts).select(*[F.col("v")[i].cast("long").alias(c) for i, c in enumerate(("file", "start"))], "kind", F.col("v")[2].alias("value"))
+        parts = parts.withColumn("record", F.count_if(F.col("kind") == _TAIL).over(order))
+        pieces = F.array_sort(F.collect_list(F.struct("start", "kind", "value")))
+        joined = parts.groupBy("file", "record").agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "").alias("value"))
+        more.append(joined.select("value"))
+    if not unclosed.isEmpty():
+        line = F.col("value")
+        alone = _numbered(rows).join(unclosed, "file", "left_semi")
+        more.append(alone.select(F.when(_single(line), line).otherwise(F.concat(F.lit(_BROKEN), line)).alias("value")))
+    if more or not path_exists(spark, whole):
+        found = reduce(DataFrame.union, more) if more else spark.createDataFrame([], "value string")
+        found.write.mode("append").text(whole, compression=_CODEC)
+    delete_paths(spark, edges)
+    return whole
 
 
 def as_lines(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """Paths to read as JSON lines in place of ``paths`` (files, or folders of such): every record of every file is a
     line there, and so is, unparsable, any text that belongs to no record."""
     files = json_files(spark, paths)
-    if not files.others:
-        return files.lines
-    out = scratch_path(spark, "records")
-    _records(spark, files.others).write.text(out)
-    return [*files.lines, out]
+    return [*files.lines, _records(spark, files.others)] if files.others else files.lines

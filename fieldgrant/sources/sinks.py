@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,26 +10,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..spec import PROVENANCE_COLUMNS, SILVER_SCHEMA
 from .readers import read_parquet
+from .scratch import unsorted
 
 BRONZE_PARTITIONS = ("source_country", "source_year")
 SILVER_PARTITIONS = ("country", "year")
 
 
-_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
-
-
-@contextmanager
-def _unsorted(spark: SparkSession) -> Iterator[None]:
-    """Let a task write its first partition value as it reads it. Spark would sort the task's rows by partition otherwise, which for one
-    dataset changes nothing and holds them in memory; rows of further values are sorted still."""
-    before = spark.conf.get(_WRITERS, None)
-    spark.conf.set(_WRITERS, max(int(before or 0), 1))
-    try:
-        yield
-    finally:
-        spark.conf.unset(_WRITERS) if before is None else spark.conf.set(_WRITERS, before)
-
-
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -45,7 +30,7 @@ def write_partitioned(
     its scan tasks already write well-sized files and the shuffle would buy nothing.
     """
     out = df.hint("rebalance", *partitions) if rebalance else df
-    with _unsorted(df.sparkSession):
+    with unsorted(df.sparkSession):
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

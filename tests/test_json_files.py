@@ -161,3 +161,26 @@ def test_text_between_records_of_an_array(spark, tmp_path, split):
     assert sorted(map(str, records)) == ["1", "2", "{'a': 3}"]
     others = "".join(v for v in lines if not v.startswith("{"))
     assert all(c in others for c in ("7", "8", "9", '"s[{"'))
+
+
+def test_scratch_holds_records_once(spark, tmp_path, monkeypatch):
+    """Records were kept as cut and again as lines, uncompressed; with many blocks, so that some records are parted by their edges."""
+    path = tmp_path / "large.json"
+    path.write_text("\n".join(json.dumps({"id": i, "text": "some words " * 40}, indent=2) for i in range(1_000)))
+    monkeypatch.setattr(json_scan, "scratch_path", lambda _, name: str(tmp_path / "scratch" / name))
+    monkeypatch.setattr(json_scan, "materialise", lambda df, *_: df.cache())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        (out,) = as_lines(spark, [str(path)])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.id for r in spark.read.json(out).collect()) == list(range(1_000))
+    held = [p for p in (tmp_path / "scratch").rglob("*") if p.is_file()]
+    assert sum(p.stat().st_size for p in held) < path.stat().st_size / 2
+    spark.catalog.clearCache()
+
+
+def test_files_without_records_give_none(spark, tmp_path):
+    """Brackets alone, so that nothing is written as the file is cut."""
+    (tmp_path / "x.json").write_text("[\n\n]\n")
+    assert [spark.read.text(p).count() for p in as_lines(spark, [str(tmp_path / "x.json")])] == [0]
