@@ -70,13 +70,19 @@ class MasterTable:
         if not signed:
             return
         differs = F.greatest(*[F.abs(F.col(c)) for c in (*AMOUNT_COLUMNS, "payments")]) != 0
-        version = self.snapshots.write(self._added(*signed).filter(differs), name="delta")
-        delta = self.snapshots.read(_STATE, "delta", version)
-        totals = self._added(delta, *([] if current is None else [self.snapshots.read(_STATE, "totals", current)]))
+        version = uuid.uuid4().hex
+        if len(signed) == 1:  # a contribution has each key once, and is stored
+            delta = signed[0].filter(differs)
+        else:
+            self.snapshots.write(self._added(*signed).filter(differs), version=version, name="delta")
+            delta = self.snapshots.read(_STATE, "delta", version)
+        totals = delta if current is None else self._added(delta, self.snapshots.read(_STATE, "totals", current))
         self.snapshots.write(totals.filter("payments <> 0"), version=version, name="totals")
 
+        rows = self.snapshots.read(_STATE, "totals", version)
         affected = delta.select("beneficiary").distinct()
-        rows = self.snapshots.read(_STATE, "totals", version).join(affected, "beneficiary", "left_semi")
+        if current is not None:  # else all are
+            rows = rows.join(affected, "beneficiary", "left_semi")
         rows = rows.withColumns({c: F.col(c) / F.lit(100.0) for c in AMOUNT_COLUMNS})
         for step in (payments.payout_totals, payments.nonzero_payouts):
             rows = step(rows)

@@ -279,6 +279,18 @@ def test_a_replacement_that_stops_changes_nothing(spark, silver, tmp_path, monke
     assert rows(master.master()) == rows(build_master(silver.filter("year <> '2022'")))
 
 
+def test_one_contribution_is_not_grouped_again(spark, silver, tmp_path, monkeypatch):
+    """A dataset that is added or taken out has its sums by key already; only a replaced one's are put together with its old ones."""
+    master, grouped = MasterTable(spark, str(tmp_path / "m")), []
+    monkeypatch.setattr(master, "_added", lambda *parts, plain=master._added: grouped.append(len(parts)) or plain(*parts))
+    of = {y: silver.filter(F.col("year") == y) for y in ("2020", "2021")}
+    for name, part, calls in (("a", of["2020"], 0), ("b", of["2021"], 1), ("a", of["2021"], 2), ("b", None, 1)):
+        grouped.clear()
+        master.replace(name, part)
+        assert len(grouped) == calls
+    assert rows(master.master()) == rows(build_master(of["2021"]))
+
+
 # --- stored profiles
 
 
