@@ -10,7 +10,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..spec import PROVENANCE_COLUMNS, SILVER_SCHEMA
 from .readers import read_parquet
-from .scratch import unsorted
+from .scratch import WRITERS as _WRITERS
+from .scratch import unsorted as _unsorted
 
 BRONZE_PARTITIONS = ("source_country", "source_year")
 SILVER_PARTITIONS = ("country", "year")
@@ -30,7 +31,7 @@ def write_partitioned(
     its scan tasks already write well-sized files and the shuffle would buy nothing.
     """
     out = df.hint("rebalance", *partitions) if rebalance else df
-    with unsorted(df.sparkSession):
+    with _unsorted(df.sparkSession):
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
